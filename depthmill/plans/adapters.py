@@ -38,10 +38,17 @@ def retried(source: DataFrame) -> DataFrame:
     )
 
 
+def _bid_ask():
+    """Prices with many digits; the book is crossed, locked or open by turns."""
+    bid = F.lit(100.0) + F.col("value")
+    return bid, bid + (F.col("event_id") % 7 - 1) * F.sqrt(F.col("value") + 1) * F.lit(0.02)
+
+
 def quotes(source: DataFrame) -> DataFrame:
     """Numeric quotes with missing bids and locked or crossed books among them."""
     event_id = F.col("event_id")
-    price = F.lit(100.0) + F.col("value")
+    bid, ask = _bid_ask()
+    bid_qty, ask_qty = F.col("value") / 3 + 1, (event_id % 4 + 1).cast("double")
     return source.select(
         F.col("event_type").alias("symbol"),
         _millis().alias("event_ts"),
@@ -49,12 +56,12 @@ def quotes(source: DataFrame) -> DataFrame:
         event_id.alias("last_update_id"),
         (event_id % 5 + 1).cast("int").alias("bid_count"),
         (event_id % 3).cast("int").alias("ask_count"),
-        F.when(event_id % 11 != 0, price).alias("best_bid_price"),
-        (F.col("user_id") % 10 + 1).cast("double").alias("best_bid_qty"),
-        (price + (event_id % 7 - 1) * F.lit(0.25)).alias("best_ask_price"),
-        (event_id % 4 + 1).cast("double").alias("best_ask_qty"),
-        F.when(event_id % 13 != 0, (F.col("user_id") % 10 + 1).cast("double")).alias("bid_depth_total"),
-        (event_id % 4 + 1).cast("double").alias("ask_depth_total"),
+        F.when(event_id % 11 != 0, bid).alias("best_bid_price"),
+        bid_qty.alias("best_bid_qty"),
+        ask.alias("best_ask_price"),
+        ask_qty.alias("best_ask_qty"),
+        F.when(event_id % 13 != 0, bid_qty + 2).alias("bid_depth_total"),
+        (ask_qty + 1).alias("ask_depth_total"),
     )
 
 
@@ -65,12 +72,13 @@ def _text(value) -> F.Column:
 def message_text(source: DataFrame) -> DataFrame:
     """JSON depth messages: with empty and missing sides, deletions, missing symbols and broken text."""
     event_id = F.col("event_id")
-    price = F.lit(100.0) + F.col("value")
+    bid, ask = _bid_ask()
+    bid_qty = F.when(event_id % 5 != 0, F.col("value") / 3 + 1).otherwise(F.lit(0.0))
     quoted = lambda *parts: F.concat(F.lit('["'), parts[0], F.lit('","'), parts[1], F.lit('"]'))
     bids = F.when(event_id % 10 == 0, F.lit("[]")).otherwise(
-        F.concat(F.lit("["), quoted(_text(price), _text(event_id % 5)), F.lit(',["1.00000000","0.00000000"]]'))
+        F.concat(F.lit("["), quoted(_text(bid), _text(bid_qty)), F.lit(',["1.00000000","0.00000000"]]'))
     )
-    asks = quoted(_text(price + (event_id % 7 - 1) * F.lit(0.25)), _text(event_id % 4 + 1))
+    asks = quoted(_text(ask), _text(event_id % 4 + 1))
     when = F.when(event_id % 31 == 0, F.lit('"bad"')).otherwise(F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))
     text = F.concat(
         F.lit('{"e":"depthUpdate","E":'),

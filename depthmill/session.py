@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,3 +34,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
 def use_rocksdb(spark: SparkSession) -> None:
     """Keyed streaming state goes to RocksDB, so it may exceed executor memory."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared folder and read back: for frames that several later steps scan.
+
+    Unlike a cache it survives lost executors, and the plan behind it is gone for good.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
