@@ -659,3 +659,61 @@ def batch_oracle() -> dict[str, str]:
             "bronze", body="SELECT symbol, last_update_id, count(*) AS n FROM bronze GROUP BY symbol, last_update_id HAVING count(*) > 1"
         ),
     }
+
+
+view("gate_diffs")(
+    f"""
+    SELECT strftime(ts, '%Y-%m-%d') AS symbol, event_id, event_id * 3 + 1 + event_id // 97 * 5 AS first_update_id,
+           event_id * 3 + 3 + event_id // 97 * 5 AS last_update_id,
+           CASE WHEN user_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side,
+           {_dec('CASE WHEN user_id % 2 = 0 THEN 60 ELSE 101 END + user_id % 40')} AS price,
+           {_dec('CASE WHEN event_id % 4 = 0 THEN 0.0 ELSE value END')} AS qty
+    FROM events
+    """
+)
+view("gate_epochs", "gate_diffs")(
+    """
+    SELECT * EXCLUDE (broken), sum(broken) OVER (PARTITION BY symbol ORDER BY first_update_id) AS epoch FROM (
+        SELECT *, CASE WHEN first_update_id <> lag(last_update_id) OVER (PARTITION BY symbol ORDER BY first_update_id) + 1 THEN 1 ELSE 0 END AS broken
+        FROM gate_diffs)
+    """
+)
+view("gate_bases", "gate_epochs")(
+    """
+    SELECT d.symbol, d.epoch, min(s.last_update_id) AS snapshot_id
+    FROM gate_epochs d JOIN gate_diffs s
+      ON s.event_id % 50 = 25 AND s.symbol = d.symbol AND s.last_update_id + 1 BETWEEN d.first_update_id AND d.last_update_id
+    GROUP BY d.symbol, d.epoch
+    """
+)
+view("gate_applied", "gate_epochs", "gate_bases")(
+    "SELECT d.*, b.snapshot_id FROM gate_epochs d JOIN gate_bases b USING (symbol, epoch) WHERE d.last_update_id > b.snapshot_id"
+)
+view("gate_levels", "gate_applied", "gate_bases")(
+    """
+    SELECT * EXCLUDE (epoch) FROM (
+        SELECT symbol, epoch, side, price, qty, last_update_id FROM gate_applied
+        UNION ALL SELECT symbol, epoch, 'bid', '1.00000000', '1.00000000', snapshot_id FROM gate_bases
+        UNION ALL SELECT symbol, epoch, 'ask', '999.00000000', '1.00000000', snapshot_id FROM gate_bases)
+    QUALIFY epoch = max(epoch) OVER (PARTITION BY symbol)
+    """
+)
+
+
+def stream_oracle() -> dict[str, str]:
+    """Twins of the streaming queries: what the same data gives as one batch."""
+    return {
+        "stream_bars": query(
+            "hourly",
+            "metrics",
+            body=f"SELECT {BAR_COLS} FROM hourly WHERE window_end <= (SELECT max(event_ts) FROM metrics) - INTERVAL 2 MINUTE",
+        ),
+        "stream_dedup": query("retried", body="SELECT DISTINCT event_type AS symbol, event_id AS last_update_id FROM retried"),
+        "stream_bronze_roundtrip": query("bronze", body=f"SELECT {BRONZE_TEXT} FROM bronze"),
+        "stream_gate": query(
+            "gate_applied",
+            body="""SELECT symbol, 'diff' AS kind, first_update_id, last_update_id FROM gate_applied
+            UNION ALL SELECT symbol, 'snapshot', snapshot_id, snapshot_id FROM gate_bases""",
+        ),
+        "stream_book": query("gate_levels", body=state("gate_levels")),
+    }

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 PARTITIONS = ("date", "symbol")
 
 
-def spread(df: DataFrame, files_per_partition: int = 8, key: str = "last_update_id") -> DataFrame:
+def spread(df: DataFrame, files_per_partition: int = 4, key: str = "last_update_id") -> DataFrame:
     """Gather each (date, symbol) into a few tasks before a partitioned write.
 
     Without it every task writes a file into every partition; with a plain hash on the partition columns
@@ -30,7 +30,7 @@ def lake_sink(
     checkpoint: str,
     fmt: str = "parquet",
     interval: str | None = "10 seconds",
-    files_per_partition: int = 8,
+    files_per_partition: int = 4,
 ) -> StreamingQuery:
     """Append a stream to a table partitioned by date and symbol, one commit per micro-batch."""
     writer = spread(rows, files_per_partition).writeStream.format(fmt).outputMode("append")

@@ -28,6 +28,8 @@ GATE_ROWS = T.StructType(
     ]
 )
 
+_GATE_ROW = Row(*GATE_ROWS.names)
+
 _SIDES = T.StructType([T.StructField("raw_bids", LEVELS), T.StructField("raw_asks", LEVELS)])
 
 # Rows sorted at a time inside one micro-batch; bounds the memory of a task, not the result.
@@ -80,7 +82,7 @@ class SequenceGate(StatefulProcessor):
             for row in chunk:
                 handle = self._diff if row.kind == "diff" else self._snapshot
                 for kind, first, last, status, levels in handle(row.first_update_id, row.last_update_id, row.levels):
-                    yield Row(symbol, self.epoch, kind, first, last, status, levels)
+                    yield _GATE_ROW(symbol, self.epoch, kind, first, last, status, levels)
         for passed in [s for s in self.pending if s <= self.last_id]:
             self.snapshots.removeKey((passed,))
         self.cursor.update((self.last_id, self.epoch, self.synced, self.waiting))

@@ -10,6 +10,7 @@ from depthmill.constants import FAILURE_THRESHOLD
 from depthmill.session import use_rocksdb
 
 ALERT_ROWS = "ts timestamp, symbol string, component string, consecutive_failures bigint, message string"
+_ALERT_ROW = Row("ts", "symbol", "component", "consecutive_failures", "message")
 
 
 class StallWatch(StatefulProcessor):
@@ -36,7 +37,7 @@ class StallWatch(StatefulProcessor):
         at = expiredTimerInfo.getExpiryTimeInMs()
         self._schedule(failures, at)
         if failures >= self.threshold:
-            yield Row(
+            yield _ALERT_ROW(
                 datetime.fromtimestamp(at / 1000, timezone.utc),
                 key[0],
                 self.component,

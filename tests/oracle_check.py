@@ -56,6 +56,7 @@ def main():
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
