@@ -52,29 +52,31 @@ def parse_depth(df: DataFrame, value: str = "value", default_symbol: str = DEFAU
     Works on batch and streaming frames. Every row is kept: rows that cannot be used carry a reason and go
     to `quarantine`, the others to `accepted`.
     """
-    text = F.col(value).cast("string")
-    message = df.withColumn("raw_text", text).withColumn("_m", _message(F.col("raw_text")))
-    event_ts = F.timestamp_millis(F.col("_m.event_ms"))
-    bids, asks = F.col("_m.raw_bids"), F.col("_m.raw_asks")
+    # `inline` flattens the parsed struct and also keeps later filters above it: pushed below a plain
+    # projection they would parse the text once more per condition.
+    text = df.select(F.col(value).cast("string").alias("raw_text"))
+    message = text.select("raw_text", F.inline(F.array(_message(F.col("raw_text")))))
+    event_ts = F.timestamp_millis("event_ms")
+    bids, asks = F.col("raw_bids"), F.col("raw_asks")
     reason = (
         F.when(F.col("raw_text").isNull(), "empty")
-        .when(F.col("_m.unparsed").isNotNull(), "unparseable")
-        .when(F.col("_m.event_ms").isNull(), "no_event_time")
+        .when(F.col("unparsed").isNotNull(), "unparseable")
+        .when(F.col("event_ms").isNull(), "no_event_time")
     )
     return message.select(
         F.date_format(event_ts, "yyyy-MM-dd HH:mm:ss").alias("event_time"),
         F.to_date(event_ts).alias("date"),
-        F.coalesce(F.col("_m.symbol"), F.lit(default_symbol)).alias("symbol"),
-        F.col("_m.first_update_id").alias("first_update_id"),
-        F.col("_m.last_update_id").alias("last_update_id"),
+        F.coalesce("symbol", F.lit(default_symbol)).alias("symbol"),
+        "first_update_id",
+        "last_update_id",
         Q.level_count(bids).alias("bid_count"),
         Q.level_count(asks).alias("ask_count"),
         Q.level_field(bids, 0, 0).alias("best_bid_price"),
         Q.level_field(bids, 0, 1).alias("best_bid_qty"),
         Q.level_field(asks, 0, 0).alias("best_ask_price"),
         Q.level_field(asks, 0, 1).alias("best_ask_qty"),
-        bids.alias("raw_bids"),
-        asks.alias("raw_asks"),
+        "raw_bids",
+        "raw_asks",
         event_ts.alias("event_ts"),
         reason.alias("reject_reason"),
         "raw_text",

@@ -30,9 +30,12 @@ def to_numbers(df: DataFrame) -> DataFrame:
 
 
 def valid_quotes(df: DataFrame) -> DataFrame:
-    """Both prices present and positive, bid strictly below ask (locked and crossed books go)."""
+    """Both prices present and positive, bid strictly below ask (locked and crossed books go).
+
+    A positive bid below the ask implies the rest; comparisons with NULL drop the row.
+    """
     bid, ask = F.col("best_bid_price"), F.col("best_ask_price")
-    return df.where(bid.isNotNull() & ask.isNotNull() & (bid > 0) & (ask > 0) & (bid < ask))
+    return df.where((bid > 0) & (bid < ask))
 
 
 def stage_quotes(bronze: DataFrame) -> DataFrame:
