@@ -119,5 +119,5 @@ def with_quantile_slice(df: DataFrame, value: str, slices: int = 64, by: Sequenc
         banded = df.join(per_group, list(by))
     else:
         banded = df.withColumn("_borders", df.agg(borders.alias("_borders")).scalar())
-    below = F.size(F.filter("_borders", lambda border: border < F.col(value)))
-    return banded.withColumn("_band", F.coalesce(below, F.lit(0)).cast("long")).drop("_borders")
+    below = [F.coalesce(F.get("_borders", F.lit(i)) < F.col(value), F.lit(False)).cast("long") for i in range(slices - 1)]
+    return banded.withColumn("_band", reduce(Column.__add__, below)).drop("_borders")

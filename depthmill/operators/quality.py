@@ -41,7 +41,8 @@ def null_only_when(column: str, condition: Column) -> Check:
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Key combinations that occur more than once, with their count; NULL keys count as values."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1)
+    return counts.withColumnRenamed("_rows", "n")
 
 
 def unique_combination(columns: Sequence[str]) -> Check:
