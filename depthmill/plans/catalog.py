@@ -148,7 +148,7 @@ def _recorded_updates(source: DataFrame) -> DataFrame:
 def _sources() -> dict[str, Callable[[DataFrame], DataFrame]]:
     top_60 = lambda e: B.top_bars(A.quotes(e), "60 minutes")
     active = lambda e: M.activity(A.quotes(e))
-    featured = ["symbol", "window_start", *X._feature_columns(X.sliced_window(["symbol"], ["window_start"]), True, 1.0, 5)]
+    featured = ["symbol", "window_start", *X.ENGINEERED_COLS]
     return {
         # parsing
         "parse_messages": lambda e: bronze(e),
