@@ -22,6 +22,9 @@ from depthmill.session import written
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6
+# Moves values that lie exactly between two roundings (averages of short decimals do) off the tie, where
+# the last bit of a sum would decide; far below the digits shown.
+TIE_OFFSET = 3.14159265e-8
 SCORE_THRESHOLD = 80.0
 SPOT_CHECK_ID = 5000
 
@@ -32,7 +35,7 @@ def comparable(df: DataFrame) -> DataFrame:
     def column(field: T.StructField):
         c = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, DIGITS) + F.lit(0.0)
+            c = F.round(c + F.lit(TIE_OFFSET), DIGITS) + F.lit(0.0)
         elif isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.ArrayType):

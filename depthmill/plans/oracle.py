@@ -5,7 +5,7 @@ Views are joined into WITH chains; every query ends in an explicit column list w
 
 from depthmill.constants import CONFIDENCE_BOUNDS, DEFAULT_SYMBOL, FEATURE_COLS
 from depthmill.plans.adapters import LOG_THRESHOLD
-from depthmill.plans.catalog import SCORE_THRESHOLD, SPOT_CHECK_ID
+from depthmill.plans.catalog import DIGITS, SCORE_THRESHOLD, SPOT_CHECK_ID, TIE_OFFSET
 
 # name -> (views it reads, SQL)
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -32,9 +32,13 @@ def query(*reads: str, body: str) -> str:
     return f"WITH {ctes}\n{body}" if ctes else body
 
 
-def r(names: str, digits: int = 6) -> str:
-    """Rounded doubles; adding zero turns a negative zero into a plain one."""
-    return ", ".join(f"round({n}, {digits}) + 0.0 AS {n}" for n in names.split())
+def six(value: str) -> str:
+    """A double as both sides print it: see `catalog.comparable`."""
+    return f"round({value} + {TIE_OFFSET}, {DIGITS}) + 0.0"
+
+
+def r(names: str) -> str:
+    return ", ".join(f"{six(n)} AS {n}" for n in names.split())
 
 
 # ---- input views -------------------------------------------------------------------------------------------
@@ -477,8 +481,8 @@ def batch_oracle() -> dict[str, str]:
         ),
         "array_depth_totals": query(
             "bronze",
-            body=f"""SELECT last_update_id, event_ts, round({_depth('raw_bids')}, 6) + 0.0 AS bid_depth_total,
-            round({_depth('raw_asks')}, 6) + 0.0 AS ask_depth_total FROM bronze""",
+            body=f"""SELECT last_update_id, event_ts, {six(_depth('raw_bids'))} AS bid_depth_total,
+            {six(_depth('raw_asks'))} AS ask_depth_total FROM bronze""",
         ),
         "bars_1m": query("metrics", body=f"SELECT {BAR_COLS} FROM ({depth_bars('metrics', '1 minute')})"),
         "bars_5m": query("metrics", body=f"SELECT {BAR_COLS} FROM ({depth_bars('metrics', '5 minutes')})"),
@@ -490,7 +494,7 @@ def batch_oracle() -> dict[str, str]:
         "metric_series": query(
             "hourly",
             body=" UNION ALL ".join(
-                f"SELECT symbol, window_start, '{m}' AS metric, round({m}, 6) + 0.0 AS value FROM hourly"
+                f"SELECT symbol, window_start, '{m}' AS metric, {six(m)} AS value FROM hourly"
                 for m in ("mid_price_avg", "spread_bps_avg", "imbalance_avg", "depth_ratio")
             ),
         ),
@@ -514,8 +518,8 @@ def batch_oracle() -> dict[str, str]:
         "labels_dropped": query("hourly_labels", body=f"SELECT {LABEL_COLS} FROM hourly_labels WHERE label IS NOT NULL"),
         "labels_by_minutes": query(
             "hourly",
-            body="""SELECT a.symbol, a.window_start, CAST(b.mid_price_avg > a.mid_price_avg AS INTEGER) AS label,
-            round(a.mid_price_avg, 6) + 0.0 AS mid_price_avg
+            body=f"""SELECT a.symbol, a.window_start, CAST(b.mid_price_avg > a.mid_price_avg AS INTEGER) AS label,
+            {six('a.mid_price_avg')} AS mid_price_avg
             FROM hourly a LEFT JOIN hourly b ON a.symbol = b.symbol AND b.window_start = a.window_start + INTERVAL 300 MINUTE""",
         ),
         "training_set": query("training", body=f"SELECT {TRAINING_COLS} FROM training"),
@@ -553,8 +557,8 @@ def batch_oracle() -> dict[str, str]:
         ),
         "book_depth_ladder": query(
             "ranked_book",
-            body="""SELECT symbol, side, price, qty, last_update_id, round(sum(CAST(qty AS DOUBLE)) OVER (
-            PARTITION BY symbol, side ORDER BY rank), 6) + 0.0 AS cumulative_qty FROM ranked_book""",
+            body=f"""SELECT symbol, side, price, qty, last_update_id,
+            {six('sum(CAST(qty AS DOUBLE)) OVER (PARTITION BY symbol, side ORDER BY rank)')} AS cumulative_qty FROM ranked_book""",
         ),
         "book_spot_check": query(
             "ranked_book",
@@ -613,7 +617,7 @@ def batch_oracle() -> dict[str, str]:
         ),
         "feature_summary": query("training", body=_profile()),
         "positive_share": query(
-            "training", body="SELECT count(*) AS rows, round(avg(label), 6) + 0.0 AS positive_share FROM training"
+            "training", body=f"SELECT count(*) AS rows, {six('avg(label)')} AS positive_share FROM training"
         ),
         "drift_last_100": query("log", body=_drift("")),
         "drift_per_symbol": query("log", body=_drift("symbol")),
@@ -634,7 +638,7 @@ def batch_oracle() -> dict[str, str]:
             "quotes",
             "hourly",
             body=f"""SELECT symbol, latest_tick, latest_bar, {r('tick_lag_seconds gold_lag_seconds')},
-            round(round_even(tick_lag_seconds + gold_lag_seconds, 1), 6) + 0.0 AS total_lag_seconds FROM (
+            {six('round_even(tick_lag_seconds + gold_lag_seconds, 1)')} AS total_lag_seconds FROM (
             SELECT symbol, latest_tick, latest_bar, round_even((epoch_us(now) - epoch_us(latest_tick)) / 1e6::DOUBLE, 1) AS tick_lag_seconds,
                    round_even((epoch_us(now) - epoch_us(latest_bar)) / 1e6::DOUBLE, 1) AS gold_lag_seconds
             FROM (SELECT symbol, max(event_ts) AS latest_tick FROM quotes GROUP BY symbol)
