@@ -17,33 +17,26 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
     )
 
 
-def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
+def _cumulative(counts: DataFrame) -> DataFrame:
     """Counts at or above every distinct score, highest score first, in quantile bands."""
-    banded = with_quantile_slice(score_counts(df, label, score), "score")
+    banded = with_quantile_slice(counts, "score")
     sums = {"tp": F.col("positives"), "fp": F.col("negatives")}
     return running_totals(banded, [], [F.desc("score")], -F.col("_band"), sums).drop("_band")
 
 
-def _class_totals(df: DataFrame, label: str) -> Column:
-    return df.agg(
-        F.struct(
-            F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives")
-        )
-    ).scalar()
-
-
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """(threshold, tpr, fpr) per distinct score, plus the start (0, 0) whose threshold is NULL.
 
-    Rates are NULL when a class is absent.
+    Everything after the first group-by works on distinct scores. Rates are NULL when a class is absent.
     """
-    with_totals = _cumulative(df, label, score).withColumn("_all", _class_totals(df, label))
-    points = with_totals.select(
+    counts = score_counts(df, label, score)
+    totals = counts.agg(F.struct(F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives")))
+    points = _cumulative(counts).withColumn("_all", totals.scalar()).select(
         F.col("score").alias("threshold"),
         ratio(F.col("tp").cast("double"), F.col("_all.positives").cast("double")).alias("tpr"),
         ratio(F.col("fp").cast("double"), F.col("_all.negatives").cast("double")).alias("fpr"),
     )
-    start = df.agg(F.count(F.lit(1)).alias("_n")).select(
+    start = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("tpr"), F.lit(0.0).alias("fpr")
     )
     return points.unionByName(start)
@@ -61,7 +54,7 @@ def best_threshold(points: DataFrame) -> DataFrame:
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact area by the rank statistic; NULL when a class is absent."""
-    cumulative = _cumulative(df, label, score)
+    cumulative = _cumulative(score_counts(df, label, score))
     # Pairs won by positives: each negative loses to the positives above it and halves its ties.
     above = F.col("tp") - F.col("positives")
     won = F.sum(F.col("negatives").cast("double") * (above + F.col("positives") / 2.0))
@@ -183,7 +176,8 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_rows"))
     banded = with_quantile_slice(distinct, "value", by=["column"])
     upto = running_totals(banded, ["column"], ["value"], F.col("_band"), {"_upto": F.col("_rows")}).drop("_band")
-    placed = upto.join(basic.select("column", F.col("count").alias("_n")), "column")
+    # One row per profiled column: as small as the list of names.
+    placed = upto.join(F.broadcast(basic.select("column", F.col("count").alias("_n"))), "column")
 
     def value_at(position: Column) -> Column:
         inside = (F.col("_upto") > position) & (F.col("_upto") - F.col("_rows") <= position)
@@ -200,4 +194,4 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         low, high, weight = (F.col(f"_{name}_{part}") for part in ("lo", "hi", "w"))
         quartiles.append((low + (high - low) * weight).alias(name))
     positions = placed.groupBy("column").agg(*found).select("column", *quartiles)
-    return basic.join(positions, "column").select("column", "count", "mean", "std", "min", *QUARTILES, "max")
+    return basic.join(F.broadcast(positions), "column").select("column", "count", "mean", "std", "min", *QUARTILES, "max")

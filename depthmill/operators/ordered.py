@@ -111,12 +111,13 @@ def with_quantile_slice(df: DataFrame, value: str, slices: int = 64, by: Sequenc
     """Add `_band`: the number of the value's quantile band, rising with the value.
 
     The band borders come from one approximate-percentile aggregate of fixed size; they only balance the
-    work, so their error never touches a result. With `by`, borders are per group.
+    work, so their error never touches a result. With `by`, borders are per group; groups must be few by
+    nature, such as column names, because their borders are broadcast.
     """
     borders = F.percentile_approx(value, F.array(*[F.lit(i / slices) for i in range(1, slices)]), F.lit(10000))
     if by:
         per_group = df.groupBy(*by).agg(borders.alias("_borders"))
-        banded = df.join(per_group, list(by))
+        banded = df.join(F.broadcast(per_group), list(by))
     else:
         banded = df.withColumn("_borders", df.agg(borders.alias("_borders")).scalar())
     below = [F.coalesce(F.get("_borders", F.lit(i)) < F.col(value), F.lit(False)).cast("long") for i in range(slices - 1)]

@@ -16,11 +16,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def work_root(spark: SparkSession) -> str:
-    """The folder the cluster shares for checkpoints; a temporary one only where none is named (tests)."""
+    """The folder the cluster shares for checkpoints.
+
+    Only a local session may do without one and gets a temporary folder.
+    """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="depthmill-")
         spark.conf.set(CHECKPOINT_KEY, root)
     return root

@@ -173,7 +173,8 @@ def applied_levels(gate: DataFrame) -> DataFrame:
 
 
 def current_book(gate: DataFrame) -> DataFrame:
-    """The book of each symbol's newest epoch."""
-    levels = applied_levels(gate)
-    newest = levels.groupBy("symbol").agg(F.max("epoch").alias("epoch"))
-    return book_state(levels.join(newest, ["symbol", "epoch"], "left_semi"), keys=("symbol", "epoch"))
+    """The book of each symbol's newest epoch: levels are reduced first, then older epochs dropped."""
+    books = book_state(applied_levels(gate), keys=("symbol", "epoch"))
+    anchors = gate.where((F.col("status") == "applied") & (F.col("kind") == "snapshot"))
+    newest = anchors.groupBy("symbol").agg(F.max("epoch").alias("epoch"))
+    return books.join(newest, ["symbol", "epoch"], "left_semi")
