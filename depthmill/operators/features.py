@@ -13,8 +13,8 @@ from depthmill.operators.ordered import (
 )
 
 KEY, TIME = "symbol", "window_start"
-# The columns `add_features` adds: the second half of the feature vector.
-ENGINEERED_COLS = FEATURE_COLS[5:]
+# The feature vector is five bar columns followed by the five that `add_features` adds.
+BAR_COLS, ENGINEERED_COLS = FEATURE_COLS[:5], FEATURE_COLS[5:]
 
 
 def by_day() -> Column:

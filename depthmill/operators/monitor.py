@@ -99,7 +99,8 @@ def activity(ticks: DataFrame, width: str = "1 minute", offset: str = "last_upda
 
 def _beside_previous(active: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Values of the previous active interval, from (symbol, day) slices."""
-    near = with_neighbours(active, ["symbol"], ["window_start"], F.to_date("window_start"), before=1)
+    needed = active.select("symbol", "window_start", *[c for c in columns.values() if c != "window_start"])
+    near = with_neighbours(needed, ["symbol"], ["window_start"], F.to_date("window_start"), before=1)
     window = sliced_window(["symbol"], ["window_start"])
     return without_neighbours(near.withColumns({new: F.lag(old).over(window) for new, old in columns.items()}))
 

@@ -76,7 +76,7 @@ def synchronise(messages: DataFrame, snapshots: DataFrame, slice_ids: int = SLIC
     at or before that snapshot are `stale`, the anchor and all later ones are `applied`, and an epoch no
     snapshot connects to stays `unanchored`.
     """
-    numbered = epochs(messages, slice_ids)
+    numbered = epochs(messages, slice_ids).select(*messages.columns, "epoch")
     anchored = snapshot_anchors(numbered.select("symbol", "epoch", "first_update_id", "last_update_id"), snapshots)
     bases = anchored.groupBy("symbol", "epoch").agg(F.min("snapshot_id").alias("snapshot_id"))
     status = (

@@ -70,9 +70,22 @@ def hourly(source: DataFrame) -> DataFrame:
     return B.depth_bars(metrics(source), "60 minutes")
 
 
+def narrow_hourly(source: DataFrame) -> DataFrame:
+    """Bars with the columns features need and no others.
+
+    Slice borders carry whole rows; where both they and the rows themselves need the same columns, the
+    plan reuses one shuffle of bars for both.
+    """
+    return hourly(source).select("symbol", "window_start", *X.BAR_COLS)
+
+
+def mids(source: DataFrame) -> DataFrame:
+    return hourly(source).select("symbol", "window_start", "mid_price_avg")
+
+
 def training(source: DataFrame) -> DataFrame:
     """The training set as a table, for steps that read it more than once."""
-    return written(X.training_set(hourly(source)), "training")
+    return written(X.training_set(narrow_hourly(source)), "training")
 
 
 def predicted(source: DataFrame) -> DataFrame:
@@ -145,7 +158,7 @@ def _messages_out(source: DataFrame) -> DataFrame:
 
 def _recorded_updates(source: DataFrame) -> DataFrame:
     sequence = A.update_sequence(source)
-    return N.synchronise(sequence, A.snapshot_ids(sequence)).drop("prev_update_id", "expected_id", "gap", "result")
+    return N.synchronise(sequence, A.snapshot_ids(sequence))
 
 
 def _sources() -> dict[str, Callable[[DataFrame], DataFrame]]:
@@ -176,18 +189,16 @@ def _sources() -> dict[str, Callable[[DataFrame], DataFrame]]:
         "bars_topofbook_60m": top_60,
         "metric_series": lambda e: B.metric_series(hourly(e)),
         # features, labels, split
-        "feature_rolling_full": lambda e: X.add_features(hourly(e)).select(*featured),
+        "feature_rolling_full": lambda e: X.add_features(narrow_hourly(e).drop("depth_ratio")).select(*featured),
         "feature_rolling_partial": lambda e: X.gold_features(top_60(e)),
-        "engineered_features": lambda e: X.engineer_features(hourly(e)).select("symbol", "window_start", *FEATURE_COLS),
-        "labels_lead_nullable": lambda e: X.add_label(hourly(e)).select("symbol", "window_start", "mid_price_avg", "label"),
-        "labels_dropped": lambda e: X.create_labels(hourly(e)).select("symbol", "window_start", "mid_price_avg", "label"),
-        "labels_by_minutes": lambda e: X.add_label(hourly(e), horizon=300, mode="minutes").select(
-            "symbol", "window_start", "mid_price_avg", "label"
-        ),
+        "engineered_features": lambda e: X.engineer_features(narrow_hourly(e)).select("symbol", "window_start", *FEATURE_COLS),
+        "labels_lead_nullable": lambda e: X.add_label(mids(e)),
+        "labels_dropped": lambda e: X.create_labels(mids(e)),
+        "labels_by_minutes": lambda e: X.add_label(mids(e), horizon=300, mode="minutes"),
         "training_set": lambda e: X.training_set(hourly(e)),
         "training_set_no_nulls": lambda e: X.training_set(hourly(e), every_column=True),
         "time_split_counts": _time_split_counts,
-        "numbered_rows": lambda e: X.numbered(hourly(e)).select("symbol", "window_start", "row_index"),
+        "numbered_rows": lambda e: X.numbered(hourly(e).select("symbol", "window_start")),
         "latest_per_symbol": lambda e: X.latest_per_symbol(hourly(e)),
         "tail_10": lambda e: X.newest(hourly(e), 10),
         "head_5": lambda e: X.oldest(hourly(e), 5),
@@ -200,7 +211,7 @@ def _sources() -> dict[str, Callable[[DataFrame], DataFrame]]:
         "book_from_snapshot": _snapshot_book,
         "book_top_levels": lambda e: K.top_levels(K.book_state(A.level_changes(e)), 5),
         "book_spread": lambda e: K.best_spread(K.book_state(A.level_changes(e))),
-        "book_depth_ladder": lambda e: K.depth_ladder(K.book_state(A.level_changes(e)), band=10.0),
+        "book_depth_ladder": lambda e: K.depth_ladder(written(K.book_state(A.level_changes(e)), "book"), band=10.0),
         "book_spot_check": _spot_check,
         "book_rebuilt_from_messages": lambda e: K.book_state(
             K.explode_levels(S.dedup_latest(bronze(e), ["symbol", "last_update_id"], ["event_ts"]))
@@ -221,7 +232,7 @@ def _sources() -> dict[str, Callable[[DataFrame], DataFrame]]:
         "class_report": lambda e: E.class_report(predicted(e)),
         "threshold_metrics": lambda e: E.evaluate(A.scores(e), SCORE_THRESHOLD),
         "feature_summary": lambda e: E.column_profile(training(e), [*FEATURE_COLS, "label"]),
-        "positive_share": lambda e: E.positive_share(X.training_set(hourly(e))),
+        "positive_share": lambda e: E.positive_share(X.training_set(narrow_hourly(e))),
         # monitoring
         "drift_last_100": lambda e: M.drift(A.prediction_log(e)),
         "drift_per_symbol": lambda e: M.drift(A.prediction_log(e), by="symbol"),
