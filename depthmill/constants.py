@@ -2,6 +2,9 @@
 
 # The exchange message format and the published table contract.
 DEFAULT_SYMBOL = "BTCUSDT"
+PREDICTION_TARGET = "price_direction_5min"
+MODEL_VERSION = "v1"
+ALERT_TEXT = "ALERT: {component} has failed {count} consecutive checks"
 DELETED_QTY = "0.00000000"
 FEATURE_COLS = [
     "vwap",

@@ -6,10 +6,17 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depthmill.constants import FEATURE_COLS, LABEL_HORIZON, METADATA_REQUIRED_KEYS, MODEL_GATE_AUC
+from depthmill.constants import (
+    FEATURE_COLS,
+    LABEL_HORIZON,
+    METADATA_REQUIRED_KEYS,
+    MODEL_GATE_AUC,
+    MODEL_VERSION,
+    PREDICTION_TARGET,
+)
 from depthmill.functions import scoring as S
 from depthmill.session import work_root
 
@@ -57,12 +64,11 @@ def log_rows(answers: DataFrame) -> DataFrame:
 
 
 def metadata(
-    spark: SparkSession,
     metrics: DataFrame,
     threshold: DataFrame,
     trained_on: DataFrame,
     boundary: DataFrame,
-    version: str = "v1",
+    version: str = MODEL_VERSION,
     horizon: int = LABEL_HORIZON,
 ) -> DataFrame:
     """One row describing a model: threshold, rounded metrics, feature list, row count and time cut."""
@@ -73,7 +79,7 @@ def metadata(
         .withColumns(
             {
                 "model_version": F.lit(version),
-                "prediction_target": F.lit("price_direction_5min"),
+                "prediction_target": F.lit(PREDICTION_TARGET),
                 "label_horizon": F.lit(horizon),
                 "feature_cols": F.array(*[F.lit(c) for c in FEATURE_COLS]),
                 "optimal_threshold": threshold.select("threshold").scalar(),
@@ -97,7 +103,7 @@ def acceptance(description: DataFrame, minimum_auc: float = MODEL_GATE_AUC) -> D
     )
 
 
-def run_record(spark: SparkSession, run_id: str, parameters: dict, metrics: DataFrame) -> DataFrame:
+def run_record(run_id: str, parameters: dict, metrics: DataFrame) -> DataFrame:
     """Parameters and metrics of one training run as maps, for an append-only run table."""
     given = [part for k, v in parameters.items() for part in (F.lit(k), F.lit(str(v)))]
     measured = [part for n in metrics.columns for part in (F.lit(n), F.col(n))]

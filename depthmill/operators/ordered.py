@@ -38,7 +38,7 @@ def _carried(sliced: DataFrame, keys: list[str], order: list[str], rows: int, ea
         border = F.lead(SLICE).over(timeline)
     # Among edge rows only, the rows beside a slice's outermost one are exactly its nearest outside rows.
     at_border = edges.select(F.col(SLICE).alias("_home"), beside.alias("_beside"), border.alias("_next")).where(
-        F.col("_next").isNotNull() & (F.col("_next") != F.col("_home"))
+        (F.size("_beside") > 0) & ~F.col("_next").eqNullSafe(F.col("_home"))
     )
     copies = at_border.select("_home", F.explode("_beside").alias("_row"))
     return copies.select(*[F.col("_home" if c == SLICE else f"_row.{c}").alias(c) for c in names])

@@ -69,7 +69,7 @@ def min_rows(rows: int) -> Check:
 
 
 def not_empty() -> Check:
-    return Check("not_empty", min_rows(1).violation, min_rows(1).measure)
+    return Check("not_empty", measure=min_rows(1).measure)
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

@@ -65,7 +65,7 @@ def quotes(source: DataFrame) -> DataFrame:
     )
 
 
-def _text(value) -> F.Column:
+def _text(value):
     return value.cast("decimal(18,8)").cast("string")
 
 
@@ -99,9 +99,9 @@ def message_text(source: DataFrame) -> DataFrame:
 def envelopes(source: DataFrame) -> DataFrame:
     """The messages in broker form."""
     return message_text(source).select(
-        F.lit("btcusdt").cast("binary").alias("key"),
+        F.lit("depth").cast("binary").alias("key"),
         F.col("message").cast("binary").alias("value"),
-        F.lit("btcusdt_depth").alias("topic"),
+        F.lit("depth_updates").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),

@@ -452,7 +452,7 @@ def batch_oracle() -> dict[str, str]:
             "decoded", body="SELECT message AS raw_text, 'unparseable' AS reject_reason FROM decoded WHERE NOT valid OR ms IS NULL"
         ),
         "envelope_projection": query(
-            body="SELECT m.message AS raw_json, 'btcusdt_depth' AS topic, 0 AS partition, e.event_id AS \"offset\", e.ts AS kafka_timestamp "
+            body="SELECT m.message AS raw_json, 'depth_updates' AS topic, 0 AS partition, e.event_id AS \"offset\", e.ts AS kafka_timestamp "
             "FROM events e JOIN (SELECT DISTINCT ON (event_id) event_id, message FROM ("
             + VIEWS["messages"][1].replace("FROM retried", "FROM events")
             + ")) m ON m.event_id = e.event_id"

@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depthmill.constants import MODEL_VERSION
 from depthmill.operators import evaluation as E
 from depthmill.operators import features as X
 from depthmill.operators import model as M
@@ -23,12 +24,11 @@ class Trained:
     description: DataFrame
 
 
-def train_and_evaluate(bars: DataFrame, every_column: bool = False, version: str = "v1", **boosting) -> Trained:
+def train_and_evaluate(bars: DataFrame, every_column: bool = False, version: str = MODEL_VERSION, **boosting) -> Trained:
     """Training set, time split, fit on the past, threshold and metrics on the rest.
 
     The training set and the scored test rows are written once: several passes read each of them.
     """
-    spark = bars.sparkSession
     rows = written(X.training_set(bars, every_column=every_column), "training")
     X.require_rows(rows)
     boundary = written(X.split_boundary(rows), "boundary")
@@ -39,7 +39,7 @@ def train_and_evaluate(bars: DataFrame, every_column: bool = False, version: str
     threshold = written(E.best_threshold(E.roc_points(scored)), "threshold")
     metrics = written(E.evaluate(scored, threshold.select("threshold").scalar()), "metrics")
     default = E.evaluate(scored, 0.5)
-    described = M.metadata(spark, metrics, threshold, train, boundary, version)
+    described = M.metadata(metrics, threshold, train, boundary, version)
     return Trained(model, metrics, default, written(described, "description"))
 
 
@@ -86,7 +86,7 @@ def scoring_batches(model: PipelineModel, threshold: float, log_path: str):
     return write
 
 
-def retrain_if_drifted(bars: DataFrame, log: DataFrame, folder: str, version: str = "v1", **boosting) -> str:
+def retrain_if_drifted(bars: DataFrame, log: DataFrame, folder: str, version: str = MODEL_VERSION, **boosting) -> str:
     """Drift check, then train, evaluate and publish; any failure leaves the current model in place."""
     status = drift(log).first()["status"]
     if status != "drift_detected":
@@ -95,6 +95,6 @@ def retrain_if_drifted(bars: DataFrame, log: DataFrame, folder: str, version: st
     if M.missing_keys(trained.description):
         return "failed"
     path = save(trained, folder, version)
-    append_log(M.run_record(bars.sparkSession, path.rsplit("/", 1)[1], {**M.BOOSTING, **boosting}, trained.metrics), f"{folder}/model_runs")
+    append_log(M.run_record(path.rsplit("/", 1)[1], {**M.BOOSTING, **boosting}, trained.metrics), f"{folder}/model_runs")
     publish(bars.sparkSession, folder, path)
     return "retrained"

@@ -19,7 +19,7 @@ def spread(df: DataFrame, files_per_partition: int = 4, key: str = "last_update_
     return df.repartition(*[F.col(c) for c in PARTITIONS], salt)
 
 
-def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+def with_trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """A fixed interval, or one pass over what is there when no interval is given."""
     return writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
 
@@ -35,24 +35,24 @@ def lake_sink(
     """Append a stream to a table partitioned by date and symbol, one commit per micro-batch."""
     writer = spread(rows, files_per_partition).writeStream.format(fmt).outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint).partitionBy(*PARTITIONS)
-    return _trigger(writer, interval).start(path)
+    return with_trigger(writer, interval).start(path)
 
 
 def console_sink(rows: DataFrame, interval: str | None = "5 seconds") -> StreamingQuery:
     writer = rows.writeStream.format("console").outputMode("append").option("truncate", "false")
-    return _trigger(writer, interval).start()
+    return with_trigger(writer, interval).start()
 
 
 def memory_sink(rows: DataFrame, name: str, interval: str | None = None) -> StreamingQuery:
     """For inspection and tests only: the result lives in the driver."""
-    return _trigger(rows.writeStream.format("memory").queryName(name).outputMode("append"), interval).start()
+    return with_trigger(rows.writeStream.format("memory").queryName(name).outputMode("append"), interval).start()
 
 
 def batch_sink(
     rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(writer, interval).start()
+    return with_trigger(writer, interval).start()
 
 
 def append_once(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:

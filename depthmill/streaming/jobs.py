@@ -41,7 +41,7 @@ def ingest(
     """Two queries over one parsed source: good rows to the lake table, the rest to the quarantine."""
     good = W.lake_sink(bronze_stream(envelopes), table, f"{checkpoints}/bronze", fmt, interval)
     bad = quarantine_stream(envelopes).writeStream.format(fmt).option("checkpointLocation", f"{checkpoints}/quarantine")
-    return [good, W._trigger(bad, interval).start(rejects)]
+    return [good, W.with_trigger(bad, interval).start(rejects)]
 
 
 def await_any(spark: SparkSession, timeout: int | None = None) -> bool | None:

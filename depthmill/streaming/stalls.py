@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from depthmill.constants import FAILURE_THRESHOLD
+from depthmill.constants import ALERT_TEXT, FAILURE_THRESHOLD
 from depthmill.session import use_rocksdb
 
 ALERT_ROWS = "ts timestamp, symbol string, component string, consecutive_failures bigint, message string"
@@ -42,7 +42,7 @@ class StallWatch(StatefulProcessor):
                 key[0],
                 self.component,
                 failures,
-                f"ALERT: {self.component} has failed {failures} consecutive checks",
+                ALERT_TEXT.format(component=self.component, count=failures),
             )
 
     def close(self) -> None:

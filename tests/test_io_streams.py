@@ -133,8 +133,6 @@ def test_streamed_bars_equal_batch_bars(spark, folder):
     def metrics(df):
         return A.quotes(df).transform(S.valid_quotes).transform(S.price_metrics)
 
-    query = W.batch_sink(jobs.bars_stream(metrics(stream), "60 minutes", "40 days"), W.append_once(folder + "/x"), folder + "/cpx")
-    finish(query)
     query = (
         jobs.bars_stream(metrics(stream), "60 minutes", "1 minute").writeStream.format("parquet")
         .option("checkpointLocation", folder + "/cp").trigger(availableNow=True).start(folder + "/out")

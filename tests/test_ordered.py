@@ -45,6 +45,14 @@ def test_sliced_windows_equal_whole_windows(spark):
         assert rows(sliced) == rows(df.withColumns(columns(whole)))
 
 
+def test_rows_without_an_order_value_come_first(spark):
+    df = spark.createDataFrame([("k", None, 1), ("k", 1, 2), ("k", 40, 3)], "k string, at long, v long")
+    near = with_neighbours(df, ["k"], ["at"], F.floor(F.col("at") / 10), before=1, after=1)
+    window = sliced_window(["k"], ["at"])
+    out = without_neighbours(near.withColumns({"p": F.lag("v").over(window), "n": F.lead("v").over(window)}))
+    assert [(r.p, r.n) for r in out.orderBy("v").collect()] == [(None, 2), (1, 3), (2, None)]
+
+
 def test_running_totals_equal_whole_window(spark):
     for width in (3, 250, 10**6):
         df = frame(spark, 5)
