@@ -268,11 +268,12 @@ def repeated_windows(keyed: DataFrame, width: int = WIDTH, gram: int = GRAM, gro
     if not 0 < gram <= width or width - gram > 61:
         raise ValueError("a window's mask has 62 bits, and a prefix is no longer than a window")
     found = written(keyed.mapInArrow(_scan(width, gram), _RUN), "runs")
-    twice = found.groupBy("g").agg(F.count("*").alias("all")).where("all > 1").select("g")
+    # Written, so that the join below has a plain shuffle on both sides and a hot prefix can be split.
+    twice = written(found.groupBy("g").agg(F.count("*").alias("all")).where("all > 1").select("g"), "common-prefixes")
     again = written(found.join(twice, "g", "left_semi"), "repeated-prefixes")
     same = again.groupBy("g", "s").agg(F.count("*").alias("n"), F.min(F.struct("key", "a", "lo", "hi")).alias("at"))
     same = written(same, "distinct-runs")
-    kinds = same.groupBy("g").agg(F.count("*").alias("kinds"))
+    kinds = written(same.groupBy("g").agg(F.count("*").alias("kinds")), "prefix-kinds")
     every = F.expr("shiftleft(1L, at.hi + 1) - shiftleft(1L, at.lo)")
     sized = same.join(kinds, "g")
     alone = sized.where("kinds = 1").select("g", "s", every.alias("mask"))
