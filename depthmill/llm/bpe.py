@@ -93,7 +93,7 @@ class Encoder:
                 line = text.startswith("\n")
                 text = text[1:] if line else " " + text
             stem = text.rstrip(PUNCTUATION)
-            units = [stem, text[len(stem) :]] if stem != text and stem.lstrip(" ").isalpha() else [text]
+            units = [stem, text[len(stem) :]] if stem != text and stem[text[:1] == " " :].isalpha() else [text]
             plan.append((part, line, units))
             for unit in units:
                 if unit not in self.units:
@@ -116,13 +116,16 @@ class Encoder:
         found = None
         if len(whole) > 1 and (mark is None or len(mark) == 1):
             ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+            # Byte places at which the ids of a unit begin and end.
             if mark is None:
-                pieces = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
+                last = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+                first = np.append(0, last[:-1])
             else:
-                at = np.flatnonzero(ids == mark[0])
-                pieces = [p[1:] if i else p for i, p in enumerate(np.split(ids, at))]
-            if len(pieces) == len(whole):
-                found = {n: p.tobytes() for n, p in zip(whole, pieces, strict=True)}
+                at = 4 * np.flatnonzero(ids == mark[0])
+                first, last = np.append(0, at + 4), np.append(at, 4 * len(ids))
+            if len(first) == len(whole):
+                raw = ids.tobytes()
+                found = {n: raw[a:b] for n, a, b in zip(whole, first.tolist(), last.tolist(), strict=True)}
         self.units.update(found or {})
         rest = [n for n in names if n not in self.units]
         for name, one in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [], strict=True):

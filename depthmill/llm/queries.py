@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthmill.llm import curve_packing, fingerprints, leaks, quality_votes, repeats, token_files
+from depthmill.llm import curve_packing, fingerprints, leaks, licenses, maxent, preferences, quality_votes, repeats, token_files, warc_derivatives
 
 #: Vocabulary files are named here and read where they lie.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: The pages don't tell when they were captured.
+CAPTURED = "2024-01-01T00:00:00Z"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +32,21 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_digests(token_files.write_files(_documents(spark, folder), BYTE_BPE))
 
 
+def op3_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    found = maxent.scored(_documents(spark, folder), held)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licensed(_documents(spark, folder))
+
+
+def op5_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = preferences.preference_pairs(preferences.swapped_replies(_table(spark, folder, "conversations")))
+    return pairs.withColumn("chosen_spans", preferences.spans_text("chosen_spans")).withColumn("rejected_spans", preferences.spans_text("rejected_spans"))
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(_documents(spark, folder)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -39,6 +56,10 @@ def op7_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+def op8_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_derivatives.derivatives(warc_derivatives.responses_of(_table(spark, folder, "pages"), CAPTURED))
+
+
 def op9_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = fingerprints.near_copies(_documents(spark, folder))
     return found.select(F.col("id").alias("doc_id"), fingerprints.hexadecimal().alias("fingerprint"), F.col("component").alias("component_id"))
@@ -52,10 +73,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the subpackage by name."""
     import corpus_pipeline
 
-    own = (op1_curve_packing, op2_token_files, op6_substring_dedup, op7_quality_votes, op9_near_copies, op10_leaks)
+    own = (
+        op1_curve_packing,
+        op2_token_files,
+        op3_maxent,
+        op4_licenses,
+        op5_preferences,
+        op6_substring_dedup,
+        op7_quality_votes,
+        op8_warc_derivatives,
+        op9_near_copies,
+        op10_leaks,
+    )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins, where SQL can say it; the others are tested against plain versions."""
-    return {}
+    return {"op5_preferences": preferences.ORACLE_SQL}

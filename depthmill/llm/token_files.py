@@ -31,6 +31,8 @@ PERCENTILE = 90
 END_ID = 0
 #: Ids after which a file is closed (a document isn't cut).
 FILE_IDS = 1 << 22
+#: Tasks that read files.
+READERS = 10_000
 MAGIC = b"PFORIDS1"
 _HEAD = 7  # minimum u32, width u8, exceptions u16
 _TRAILER = struct.Struct("<QQQQ8s")  # documents, blocks, ids, place of the footer, magic
@@ -206,5 +208,6 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_digests(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files. A file is one task's work."""
-    spread = manifest.select("path", "start").repartition(F.col("path"))
+    # A number of its own: the manifest is so small that its rows would else be put into one task.
+    spread = manifest.select("path", "start").repartition(max(1, min(manifest.count(), READERS)), "path")
     return spread.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
