@@ -116,9 +116,9 @@ SELECT pair_id,
   coalesce(string_agg(shown, '' ORDER BY place) FILTER (common AND side = 'chosen'), '') AS prompt,
   coalesce(string_agg(shown, '' ORDER BY place) FILTER (NOT common AND side = 'chosen'), '') AS chosen,
   coalesce(string_agg(shown, '' ORDER BY place) FILTER (NOT common AND side = 'rejected'), '') AS rejected,
-  coalesce(string_agg((begins + 13)::BIGINT || '-' || (begins + length(shown))::BIGINT, ',' ORDER BY place)
+  coalesce(string_agg((begins + 14)::BIGINT || '-' || (begins + length(shown))::BIGINT, ',' ORDER BY place)
     FILTER (NOT common AND side = 'chosen' AND role = 'assistant'), '') AS chosen_spans,
-  coalesce(string_agg((begins + 13)::BIGINT || '-' || (begins + length(shown))::BIGINT, ',' ORDER BY place)
+  coalesce(string_agg((begins + 14)::BIGINT || '-' || (begins + length(shown))::BIGINT, ',' ORDER BY place)
     FILTER (NOT common AND side = 'rejected' AND role = 'assistant'), '') AS rejected_spans
 FROM placed GROUP BY pair_id
 """

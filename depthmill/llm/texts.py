@@ -15,6 +15,9 @@ SPACES = b"\t\n\x0b\x0c\r "
 #: Bytes of texts that one piece holds (a longer text is a piece by itself).
 PIECE = 4 << 20
 
+#: Bytes that are hashed at a time.
+_STRETCH = 1 << 17
+
 _rng = np.random.default_rng(20_240_817)
 _BYTES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _rng.integers(1, 1 << 63, 1 << 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,15 +99,20 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        values = _BYTES[self.buffer]
-        values[self._gap] = 0
-        place = np.arange(len(values))
-        place[self.starts[0] :] -= np.repeat(self.starts, np.diff(np.append(self.starts, len(values))))
-        values *= _OFFSETS[place & 0xFFFF]
-        return mix(np.add.reduceat(values, self.starts) + (self.ends - self.starts).astype(np.uint64))
+        """A 64-bit hash of each word's bytes; worked out a stretch of the buffer at a time."""
+        size = len(self.starts)
+        out = np.zeros(size, np.uint64)
+        cuts = np.unique(np.append(np.searchsorted(self.starts, np.arange(0, len(self.buffer), _STRETCH)), [0, size])).tolist()
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            begin, end = self.starts[i], self.starts[j] if j < size else len(self.buffer)
+            values = _BYTES[self.buffer[begin:end]]
+            values[self._gap[begin:end]] = 0
+            own = self.starts[i:j] - begin
+            place = np.arange(end - begin, dtype=np.int64)
+            place -= np.repeat(own, np.diff(np.append(own, end - begin)))
+            values *= _OFFSETS[place & 0xFFFF]
+            out[i:j] = np.add.reduceat(values, own)
+        return mix(out + (self.ends - self.starts).astype(np.uint64))
 
     def word(self, i: int) -> bytes:
         return self.joined[self.starts[i] : self.ends[i]]
