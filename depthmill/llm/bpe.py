@@ -14,11 +14,13 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
-#: Entries of the two memories of a worker.
-PARTS_HELD, UNITS_HELD = 800_000, 600_000
+#: Parts that a worker remembers.
+PARTS_HELD = 700_000
+#: Bytes of text that are best encoded at a time.
+PIECE = 2 << 20
 #: ASCII punctuation without the apostrophe (which may begin a contraction).
-PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
-_PLAIN_TAIL = re.compile("[" + re.escape(PUNCTUATION) + "]+")
+PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+_PLAIN_TAIL = re.compile("[" + re.escape(PUNCTUATION.decode()) + "]+")
 _OTHER_ASCII = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 #: White space beyond ASCII, as UTF-8.
 _OTHER_WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -38,7 +40,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.parts: dict[bytes, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         # Which of the two kinds of vocabulary: does white space live in the tokens, or do words carry an end mark?
         self.drops_space = self._ids(" ") == b""
         if self.drops_space:
@@ -58,8 +60,7 @@ class Encoder:
         """Ids of each UTF-8 text as little-endian unsigned 32-bit integers."""
         if len(self.parts) > PARTS_HELD:
             self.parts.clear()
-        if len(self.units) > UNITS_HELD:
-            self.units.clear()
+            self.tails.clear()
         cut = [self._cut(t) for t in texts]
         missing: set[bytes] = set()
         for parts in cut:
@@ -83,37 +84,45 @@ class Encoder:
         return (b"\n" + text).replace(b"\n", b" \n").split(b" ")[1:]
 
     def _learn(self, missing: set[bytes]) -> None:
-        """Ids of new parts, from those of their units."""
-        plan: list[tuple[bytes, bool, list[str]]] = []
-        new: dict[str, None] = {}
+        """Ids of new parts; letters followed by punctuation are put together from both."""
+        whole: dict[bytes, None] = {}
+        tails: dict[str, None] = {}
+        composed: list[tuple[bytes, bytes, str]] = []
         for part in missing:
-            text = part.decode()
-            line = False
-            if not self.drops_space:
-                line = text.startswith("\n")
-                text = text[1:] if line else " " + text
-            stem = text.rstrip(PUNCTUATION)
-            units = [stem, text[len(stem) :]] if stem != text and stem[text[:1] == " " :].isalpha() else [text]
-            plan.append((part, line, units))
-            for unit in units:
-                if unit not in self.units:
-                    new[unit] = None
-        names = list(new)
+            stem = part.rstrip(PUNCTUATION)
+            if len(stem) < len(part) and stem.decode().removeprefix("\n").isalpha():
+                tail = part[len(stem) :].decode()
+                composed.append((part, stem, tail))
+                if stem not in self.parts:
+                    whole[stem] = None
+                if tail not in self.tails:
+                    tails[tail] = None
+            else:
+                whole[part] = None
+        self.tails.update(self._encode_all(list(tails)))
+        names = list(whole)
         for k in range(0, len(names), _UNITS_AT_ONCE):
-            self._encode_units(names[k : k + _UNITS_AT_ONCE])
-        for part, line, units in plan:
-            ids = b"".join(self.units[u] for u in units)
-            self.parts[part] = self.feed.tobytes() + ids if line else ids
-
-    def _encode_units(self, names: list[str]) -> None:
-        """Many units in one call: they are joined by what surely parts them, and the ids are cut there again."""
+            some = names[k : k + _UNITS_AT_ONCE]
+            if self.drops_space:
+                found = self._encode_all([p.decode() for p in some])
+                self.parts.update((p, found[p.decode()]) for p in some)
+            else:
+                units = [p[1:].decode() if p[:1] == b"\n" else " " + p.decode() for p in some]
+                found = self._encode_all(units)
+                feed = self.feed.tobytes()
+                self.parts.update((p, feed + found[u] if p[:1] == b"\n" else found[u]) for p, u in zip(some, units, strict=True))
+        for part, stem, tail in composed:
+            self.parts[part] = self.parts[stem] + self.tails[tail]
+
+    def _encode_all(self, names: list[str]) -> dict[str, bytes]:
+        """Ids of many units in one call: they are joined by what surely parts them, and the ids are cut there again."""
         if self.drops_space:
             whole = [n for n in names if n.isalpha() or _PLAIN_TAIL.fullmatch(n)]  # a single word each for the tokenizer
             joined, mark = " ".join(whole), None
         else:
             whole = [n for n in names if n]
             joined, mark = "\n".join(whole), self.feed
-        found = None
+        found: dict[str, bytes] = {}
         if len(whole) > 1 and (mark is None or len(mark) == 1):
             ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
             # Byte places at which the ids of a unit begin and end.
@@ -126,7 +135,7 @@ class Encoder:
             if len(first) == len(whole):
                 raw = ids.tobytes()
                 found = {n: raw[a:b] for n, a, b in zip(whole, first.tolist(), last.tolist(), strict=True)}
-        self.units.update(found or {})
-        rest = [n for n in names if n not in self.units]
+        rest = [n for n in names if n not in found]
         for name, one in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [], strict=True):
-            self.units[name] = np.array(one.ids, np.uint32).tobytes()
+            found[name] = np.array(one.ids, np.uint32).tobytes()
+        return found

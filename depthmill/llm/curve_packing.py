@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthmill.llm.bpe import encoder
+from depthmill.llm.bpe import PIECE, encoder
 from depthmill.llm.texts import blocks, encoded
 from depthmill.session import written
 
@@ -69,7 +69,7 @@ def _encode(path: str, end_id: int, width: int):
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], np.uint32).tobytes()
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", PIECE):
             found = [x + end for x in encoder(path).encode(encoded(batch.column("text")))]
             lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
             ids = np.frombuffer(b"".join(found), np.uint32)
@@ -129,7 +129,7 @@ def _pack(length: int, width: int):
             names = ["row", "doc_tokens", "start", "length", "sequence_id", "offset", "ids"]
             return pa.RecordBatch.from_arrays([held, *(pa.array(x, pa.int64()) for x in columns), pa.array(ids, pa.binary())], names=names)
 
-        for batch in blocks(batches, "ids"):
+        for batch in blocks(batches, "ids", PIECE):
             row, sizes, ids = batch.column("row"), batch.column("n").to_pylist(), batch.column("ids").to_pylist()
             done: list[tuple] = []
             for i, size in enumerate(sizes):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthmill.llm.bpe import encoder
+from depthmill.llm.bpe import PIECE, encoder
 from depthmill.llm.texts import blocks, encoded
 from depthmill.session import work_dir, written
 
@@ -166,7 +166,7 @@ def _write(folder: str, tokenizer: str, end_id: int, file_ids: int):
             name, n_docs, n_ids = writer.close()
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [f"{folder}/{name}"], "n_docs": [n_docs], "n_ids": [n_ids]})
 
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", PIECE):
             for doc, ids in zip(batch.column("id").to_pylist(), encoder(tokenizer).encode(encoded(batch.column("text"))), strict=True):
                 writer = writer or Writer(folder)
                 writer.add(doc, np.frombuffer(ids + end, np.uint32))
