@@ -15,7 +15,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 #: Parts that a worker remembers.
-PARTS_HELD = 700_000
+PARTS_HELD = 500_000
 #: Bytes of text that are best encoded at a time.
 PIECE = 2 << 20
 #: ASCII punctuation without the apostrophe (which may begin a contraction).

@@ -114,47 +114,52 @@ def find(h: np.ndarray, first: np.ndarray, block: TestBlock) -> tuple[np.ndarray
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _search(block):
+_NO_HITS = {"spans": [], "items": [], "longest": 0}
+
+
+def _search(block, last: bool):
+    """Search a block; after the last one, sum up in the same pass, so that a task needs one Python worker."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = block.value
         for batch in blocks(batches, "text"):
             words = item_words(encoded(batch.column("text")))
-            before = batch.column("hits").to_pylist()
+            hits = batch.column("hits").to_pylist()
             place, width, item, length = find(words.hashes(), words.first, held)
-            if len(place):
-                owner = np.searchsorted(words.first, place, "right") - 1
-                for i in np.unique(owner).tolist():
-                    own = owner == i
-                    spans = np.unique(np.stack([place[own] - words.first[i], width[own]], axis=1), axis=0)
-                    old = before[i] or {"spans": [], "items": [], "longest": 0}
-                    names = {held.names[k] for k in np.unique(item[own]).tolist()} - {None}
-                    before[i] = {
-                        "spans": old["spans"] + [{"at": a, "n": n} for a, n in spans.tolist()],
-                        "items": sorted({*old["items"], *names}),
-                        "longest": max(old["longest"], int(length[own].max())),
-                    }
-            kind = batch.schema.field("hits").type
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(before, kind)], names=["row", "text", "hits"])
+            owner = np.searchsorted(words.first, place, "right") - 1
+            for i in np.unique(owner).tolist():
+                own = owner == i
+                spans = np.unique(np.stack([place[own] - words.first[i], width[own]], axis=1), axis=0)
+                old = hits[i] or _NO_HITS
+                names = {held.names[k] for k in np.unique(item[own]).tolist()} - {None}
+                hits[i] = {
+                    "spans": old["spans"] + [{"at": a, "n": n} for a, n in spans.tolist()],
+                    "items": sorted({*old["items"], *names}),
+                    "longest": max(old["longest"], int(length[own].max())),
+                }
+            row, text = batch.column("row"), batch.column("text")
+            if last:
+                found = [pa.array(words.counts), *_summary(hits, words.counts.tolist())]
+                yield pa.RecordBatch.from_arrays([row, text, *found], names=["row", "text", "n_words", "n_hit", "n_items", "items_sha256", "longest_match"])
+            else:
+                yield pa.RecordBatch.from_arrays([row, text, pa.array(hits, batch.schema.field("hits").type)], names=["row", "text", "hits"])
 
     return search
 
 
-def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches, "text"):
-        counts = item_words(encoded(batch.column("text"))).counts
-        n_hit, n_items, digests, longest = [], [], [], []
-        for hits, count in zip(batch.column("hits").to_pylist(), counts.tolist(), strict=True):
-            hits = hits or {"spans": [], "items": [], "longest": 0}
-            edge = np.zeros(count + 1, np.int64)
-            for span in hits["spans"]:
-                edge[span["at"]] += 1
-                edge[span["at"] + span["n"]] -= 1
-            n_hit.append(int((np.cumsum(edge[:-1]) > 0).sum()))
-            n_items.append(len(hits["items"]))
-            digests.append(hashlib.sha256(",".join(hits["items"]).encode()).hexdigest())
-            longest.append(hits["longest"])
-        arrays = [batch.column("row"), batch.column("text"), pa.array(counts), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string()), pa.array(longest, pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["row", "text", "n_words", "n_hit", "n_items", "items_sha256", "longest_match"])
+def _summary(found: list[dict | None], counts: list[int]) -> list[pa.Array]:
+    """n_hit, n_items, items_sha256 and longest_match of each text."""
+    n_hit = []
+    for hits, count in zip(found, counts, strict=True):
+        edge = np.zeros(count + 1, np.int64)
+        for span in (hits or _NO_HITS)["spans"]:
+            edge[span["at"]] += 1
+            edge[span["at"] + span["n"]] -= 1
+        n_hit.append(int((np.cumsum(edge[:-1]) > 0).sum()) if hits else 0)
+    items = [(hits or _NO_HITS)["items"] for hits in found]
+    digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+    longest = [(hits or _NO_HITS)["longest"] for hits in found]
+    return [pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digests, pa.string()), pa.array(longest, pa.int64())]
 
 
 def _test_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int, window: int) -> Iterator[TestBlock]:
@@ -188,9 +193,10 @@ def leaked(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: s
     frame = docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), F.lit(None).cast(_HITS).alias("hits"))
     kind = frame.schema["row"].dataType.simpleString()
     context = docs.sparkSession.sparkContext
-    for block in _test_blocks(items, item_id, item_text, block_words, window):
-        frame = frame.mapInArrow(_search(context.broadcast(block)), f"row {kind}, text string, hits {_HITS}")
-    out = frame.mapInArrow(_summary, f"row {kind}, text string, n_words long, n_hit long, n_items long, items_sha256 string, longest_match long")
+    parts = [context.broadcast(block) for block in _test_blocks(items, item_id, item_text, block_words, window)]
+    for part in parts[:-1]:
+        frame = frame.mapInArrow(_search(part, False), f"row {kind}, text string, hits {_HITS}")
+    out = frame.mapInArrow(_search(parts[-1], True), f"row {kind}, text string, n_words long, n_hit long, n_items long, items_sha256 string, longest_match long")
     placed = {c: F.col(f"row.c{i}").alias(c) for i, c in enumerate(rest)} | {text_col: F.col("text").alias(text_col)}
     return out.select(*[placed[c] for c in docs.columns if c in placed], *added[:-1], (F.col("n_hit") > 0).alias("contaminated"))
 
