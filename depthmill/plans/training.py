@@ -64,7 +64,8 @@ def current_path(spark: SparkSession, folder: str) -> str:
 
 def load(spark: SparkSession, path: str) -> tuple[PipelineModel, float]:
     model = PipelineModel.load(f"{path}/model")
-    return model, spark.read.json(f"{path}/description").first()["optimal_threshold"]
+    # Declared: a model that never beat chance has no threshold, and JSON leaves a NULL out.
+    return model, spark.read.schema("optimal_threshold double").json(f"{path}/description").first()["optimal_threshold"]
 
 
 def score_latest(bars: DataFrame, model: PipelineModel, threshold: float, lag_labels: bool = False) -> DataFrame:

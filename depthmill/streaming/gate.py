@@ -5,8 +5,6 @@ text. Price levels are not replayed here: the applied rows are reduced per (symb
 `operators.book`, so a busy symbol's levels still spread over all tasks.
 """
 
-from itertools import islice
-
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +30,6 @@ _GATE_ROW = Row(*GATE_ROWS.names)
 
 _SIDES = T.StructType([T.StructField("raw_bids", LEVELS), T.StructField("raw_asks", LEVELS)])
 
-# Rows sorted at a time inside one micro-batch; bounds the memory of a task, not the result.
-SORT_ROWS = 10_000
-
 
 def diff_rows(bronze: DataFrame) -> DataFrame:
     """Parsed messages as gate input."""
@@ -76,13 +71,11 @@ class SequenceGate(StatefulProcessor):
         (symbol,) = key
         self.last_id, self.epoch, self.synced, self.waiting = self.cursor.get() or (-1, 0, False, 0)
         self.pending = sorted(k[0] for k in self.snapshots.keys()) if self.snapshots.exists() else []
-        rows = iter(rows)
-        while chunk := list(islice(rows, SORT_ROWS)):
-            chunk.sort(key=lambda row: (row.first_update_id, row.kind == "diff", row.last_update_id))
-            for row in chunk:
-                handle = self._diff if row.kind == "diff" else self._snapshot
-                for kind, first, last, status, levels in handle(row.first_update_id, row.last_update_id, row.levels):
-                    yield _GATE_ROW(symbol, self.epoch, kind, first, last, status, levels)
+        # A key's whole micro-batch is put in order, so the answer doesn't hang on how many rows a batch holds.
+        for row in sorted(rows, key=lambda row: (row.first_update_id, row.kind == "diff", row.last_update_id)):
+            handle = self._diff if row.kind == "diff" else self._snapshot
+            for kind, first, last, status, levels in handle(row.first_update_id, row.last_update_id, row.levels):
+                yield _GATE_ROW(symbol, self.epoch, kind, first, last, status, levels)
         for passed in [s for s in self.pending if s <= self.last_id]:
             self.snapshots.removeKey((passed,))
         self.cursor.update((self.last_id, self.epoch, self.synced, self.waiting))

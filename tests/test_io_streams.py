@@ -235,6 +235,17 @@ def test_gate_reorders_early_diffs(spark, folder, seed):
     assert book_of(gate.current_book(out)) == replay_book(replay)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_gate_does_not_depend_on_the_size_of_a_batch(spark, folder, parts):
+    count = 12_000
+    diffs = [("S", "diff", i + 1, i + 1, levels([], [])) for i in range(count)]
+    random.Random(parts).shuffle(diffs)
+    step = count // parts
+    batches = [[as_snapshot(0)] + diffs[:step], *(diffs[k : k + step] for k in range(step, count, step))]
+    out = run_gate(spark, folder, batches, max_held=count)
+    assert out.where("status = 'applied' AND kind = 'diff'").count() == count
+
+
 def test_replay_model_raises_on_gaps():
     replay = Replay()
     replay.load(0, [], [])

@@ -1,5 +1,7 @@
 """Every registered query against its SQL twin, on the smallest tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -16,7 +18,8 @@ def con():
 
 def test_names():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"score_model"}
+    corpus = {name for name in QUERIES if re.match(r"op\d+_|pipeline$", name)}  # checked by tests of their own
+    assert set(QUERIES) - set(ORACLE) - corpus == {"score_model"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

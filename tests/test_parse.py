@@ -139,3 +139,10 @@ def test_depth_is_null_when_only_deletions(spark):
     gone = [["10.5", "0.00000000"]]
     row = one(S.quote_metrics(S.stage_quotes(P.accepted(parse(spark, message(b=gone))))))
     assert row.bid_count == 1 and row.bid_depth_total is None and row.ask_depth_total == 4.5
+
+
+def test_a_message_without_update_ids_is_rejected(spark):
+    texts = ['{"e":"depthUpdate","E":1,"s":"A","U":1,"b":[],"a":[]}', '{"e":"depthUpdate","E":1,"s":"A","u":1,"b":[],"a":[]}', '{"e":"depthUpdate","E":1,"s":"A","U":1,"u":1,"b":[],"a":[]}']
+    parsed = P.parse_depth(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert [r.reject_reason for r in P.quarantine(parsed).collect()] == ["no_update_id"] * 2
+    assert P.accepted(parsed).count() == 1
