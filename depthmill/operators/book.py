@@ -39,13 +39,33 @@ def snapshot_levels(snapshots: DataFrame) -> DataFrame:
     return explode_levels(documents)
 
 
-def _write_order() -> Column:
-    """(update id, array position) in one long; a value that does not fit stops the job."""
+def _write_order(wide: bool) -> Column:
+    """(update id, array position) in one long, where a value that does not fit stops the job, or in a decimal for any."""
     update, pos = F.col("last_update_id"), F.col("pos")
+    missing = F.when(update.isNull() | pos.isNull(), F.raise_error(F.lit("a level change has no update id or position")))
+    if wide:
+        packed = update.cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + pos.cast("decimal(10,0)")
+        return F.coalesce(missing.cast("decimal(32,0)"), packed)
     fits = (update >= 0) & (update < F.lit(1 << 47)) & (pos < (1 << 16))
     packed = F.shiftleft(update, 16).bitwiseOR(pos.cast("long"))
-    problem = F.lit("update id or level position too large: call with exact_text=True")
-    return F.when(fits, packed).otherwise(F.raise_error(problem).cast("long"))
+    problem = F.raise_error(F.lit("update id or level position too large: call with wide_ids=True"))
+    return F.coalesce(missing.cast("long"), F.when(fits, packed).otherwise(problem.cast("long")))
+
+
+def _amount() -> Column:
+    """A level's quantity as a number, by value; NULL when it cannot be read."""
+    return F.col("qty").try_cast("decimal(38,18)")
+
+
+def _amount_text(amount: Column) -> Column:
+    """Eight digits, and more only where the value has them."""
+    short = amount.cast("decimal(28,8)")
+    return F.when(amount == short, short.cast("string")).otherwise(F.regexp_replace(amount.cast("string"), "0+$", ""))
+
+
+def unreadable_levels(levels: DataFrame) -> DataFrame:
+    """Level changes whose quantity is not a number; `book_state` leaves them out."""
+    return levels.where(_amount().isNull())
 
 
 def book_state(
@@ -54,13 +74,15 @@ def book_state(
     as_of: int | None = None,
     keys: tuple[str, ...] = ("symbol",),
     exact_text: bool = False,
+    wide_ids: bool = False,
 ) -> DataFrame:
     """Book after all level changes up to `as_of`: the last write per price wins, deletions vanish.
 
     No serial replay: each (symbol, side, price) is reduced on its own, map-side first, so a busy symbol
     or a busy price leaves every task as one row. `base` adds snapshot levels under the later diffs.
-    Quantities travel as decimals with 8 digits, which keeps this a hash aggregation; `exact_text` keeps
-    their text, takes only the exchange's own zero for a deletion, and sorts.
+    Quantities travel as decimals with 18 digits, which keeps this a hash aggregation; `exact_text` keeps
+    their text, takes only the exchange's own zero for a deletion, and sorts. Changes whose quantity cannot be
+    read are no writes (`unreadable_levels`). Ids from 2^47 on need `wide_ids`, with equal results.
     """
     changes = levels if as_of is None else levels.where(F.col("last_update_id") <= as_of)
     if base is not None:
@@ -71,12 +93,10 @@ def book_state(
         kept = changes.groupBy(*group).agg(F.max(last).alias("_last"))
         state = kept.select(*group, "_last.qty", "_last.last_update_id")
         return state.where(F.coalesce(F.col("qty") != DELETED_QTY, F.lit(True)))
-    qty = F.col("qty").try_cast("decimal(28,8)")
-    kept = changes.groupBy(*group).agg(
-        F.max_by(qty, _write_order()).alias("_qty"), F.max("last_update_id").alias("last_update_id")
+    kept = changes.where(_amount().isNotNull()).groupBy(*group).agg(
+        F.max_by(_amount(), _write_order(wide_ids)).alias("_qty"), F.max("last_update_id").alias("last_update_id")
     )
-    alive = kept.where(F.coalesce(F.col("_qty") != 0, F.lit(True)))
-    return alive.select(*group, F.col("_qty").cast("string").alias("qty"), "last_update_id")
+    return kept.where(F.col("_qty") != 0).select(*group, _amount_text(F.col("_qty")).alias("qty"), "last_update_id")
 
 
 def _best_first(side: Column, price: Column) -> Column:

@@ -113,20 +113,28 @@ def offset_growth(active: DataFrame) -> DataFrame:
     )
 
 
-def stall_runs(active: DataFrame, width: str = "1 minute", threshold: int = FAILURE_THRESHOLD) -> DataFrame:
+def stall_runs(
+    active: DataFrame, width: str = "1 minute", threshold: int = FAILURE_THRESHOLD, now: Column | None = None
+) -> DataFrame:
     """Runs of at least `threshold` silent intervals between two active ones.
 
     Silence is read off the distance between neighbouring active intervals, so no grid of empty intervals
-    is ever built.
+    is ever built. With `now`, silence since a symbol's newest interval is a run too; its `recovered_at` is NULL.
     """
     seconds = width_seconds(width)
-    beside = _beside_previous(active, {"_previous": "window_start"})
-    silent = F.floor(S.age_seconds(F.col("window_start"), F.col("_previous")) / F.lit(seconds)) - 1
-    runs = beside.withColumn("consecutive_failures", silent).where(F.col("consecutive_failures") >= threshold)
+    start = F.col("window_start")
+    spans = _beside_previous(active, {"_previous": "window_start"}).select(
+        "symbol", "_previous", start.alias("recovered_at"), start.alias("_until")
+    )
+    if now is not None:
+        newest = active.groupBy("symbol").agg(F.max("window_start").alias("_previous"))
+        spans = spans.unionByName(newest.withColumns({"recovered_at": F.lit(None).cast("timestamp"), "_until": now}))
+    silent = F.floor(S.age_seconds(F.col("_until"), F.col("_previous")) / F.lit(seconds)) - 1
+    runs = spans.withColumn("consecutive_failures", silent).where(F.col("consecutive_failures") >= threshold)
     return runs.select(
         "symbol",
         (F.col("_previous") + F.make_dt_interval(secs=F.lit(seconds))).alias("stall_start"),
-        F.col("window_start").alias("recovered_at"),
+        "recovered_at",
         "consecutive_failures",
     )
 

@@ -244,8 +244,8 @@ def _sources() -> dict[str, Callable[[DataFrame], DataFrame]]:
         "freshness": lambda e: M.freshness(A.quotes(e), hourly(e), latest_event(e)),
         "minute_activity": active,
         "offset_growth": lambda e: M.offset_growth(active(e)),
-        "stall_runs": lambda e: M.stall_runs(active(e)),
-        "stall_alerts": lambda e: M.stall_alerts(M.stall_runs(active(e))),
+        "stall_runs": lambda e: M.stall_runs(active(e), now=latest_event(e)),
+        "stall_alerts": lambda e: M.stall_alerts(M.stall_runs(active(e), now=latest_event(e))),
         # quality
         "quality_report": _quality_report,
         "duplicate_keys": lambda e: C.duplicate_keys(bronze(e), ["symbol", "last_update_id"]),

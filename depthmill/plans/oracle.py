@@ -356,12 +356,23 @@ view("active", "quotes")(
     FROM quotes GROUP BY ALL
     """
 )
-view("stalls", "active")(
+# One check a minute from a symbol's first minute to the last whole one, as a watchdog would count them.
+view("watch", "active")(
     """
-    SELECT symbol, previous + INTERVAL 1 MINUTE AS stall_start, window_start AS recovered_at,
-           date_diff('minute', previous, window_start) - 1 AS consecutive_failures
-    FROM (SELECT *, lag(window_start) OVER (PARTITION BY symbol ORDER BY window_start) AS previous FROM active)
-    WHERE date_diff('minute', previous, window_start) - 1 >= 3
+    SELECT g.symbol, g.minute, a.symbol IS NULL AS silent FROM (
+        SELECT symbol, unnest(generate_series(min(window_start),
+            (SELECT time_bucket(INTERVAL '1 minute', max(ts)) - INTERVAL 1 MINUTE FROM events), INTERVAL 1 MINUTE)) AS minute
+        FROM active GROUP BY symbol) g
+    LEFT JOIN active a ON a.symbol = g.symbol AND a.window_start = g.minute
+    """
+)
+view("stalls", "active", "watch")(
+    """
+    SELECT s.symbol, s.stall_start, a.window_start AS recovered_at, s.consecutive_failures FROM (
+        SELECT symbol, min(minute) AS stall_start, count(*) AS consecutive_failures
+        FROM (SELECT *, count(*) FILTER (NOT silent) OVER (PARTITION BY symbol ORDER BY minute) AS heard FROM watch)
+        WHERE silent GROUP BY symbol, heard HAVING count(*) >= 3) s
+    LEFT JOIN active a ON a.symbol = s.symbol AND a.window_start = s.stall_start + to_minutes(s.consecutive_failures)
     """
 )
 
@@ -677,7 +688,7 @@ view("gate_diffs")(
 )
 view("gate_epochs", "gate_diffs")(
     """
-    SELECT * EXCLUDE (broken), sum(broken) OVER (PARTITION BY symbol ORDER BY first_update_id) AS epoch FROM (
+    SELECT *, sum(broken) OVER (PARTITION BY symbol ORDER BY first_update_id) AS epoch FROM (
         SELECT *, CASE WHEN first_update_id <> lag(last_update_id) OVER (PARTITION BY symbol ORDER BY first_update_id) + 1 THEN 1 ELSE 0 END AS broken
         FROM gate_diffs)
     """
@@ -693,6 +704,10 @@ view("gate_bases", "gate_epochs")(
 view("gate_applied", "gate_epochs", "gate_bases")(
     "SELECT d.*, b.snapshot_id FROM gate_epochs d JOIN gate_bases b USING (symbol, epoch) WHERE d.last_update_id > b.snapshot_id"
 )
+# Diffs that no snapshot had reached when they came.
+view("gate_early", "gate_epochs", "gate_applied")(
+    "SELECT d.* FROM gate_epochs d ANTI JOIN gate_applied a ON a.event_id = d.event_id"
+)
 view("gate_levels", "gate_applied", "gate_bases")(
     """
     SELECT * EXCLUDE (epoch) FROM (
@@ -706,7 +721,7 @@ view("gate_levels", "gate_applied", "gate_bases")(
 
 def stream_oracle() -> dict[str, str]:
     """Twins of the streaming queries: what the same data gives as one batch."""
-    return {
+    found = {
         "stream_bars": query(
             "hourly",
             "metrics",
@@ -715,9 +730,18 @@ def stream_oracle() -> dict[str, str]:
         "stream_dedup": query("retried", body="SELECT DISTINCT event_type AS symbol, event_id AS last_update_id FROM retried"),
         "stream_bronze_roundtrip": query("bronze", body=f"SELECT {BRONZE_TEXT} FROM bronze"),
         "stream_gate": query(
-            "gate_applied",
-            body="""SELECT symbol, 'diff' AS kind, first_update_id, last_update_id FROM gate_applied
-            UNION ALL SELECT symbol, 'snapshot', snapshot_id, snapshot_id FROM gate_bases""",
+            "gate_early",
+            "gate_bases",
+            body="""SELECT symbol, 'diff' AS kind, first_update_id, last_update_id, 'applied' AS status FROM gate_applied
+            UNION ALL SELECT symbol, 'snapshot', snapshot_id, snapshot_id, 'applied' FROM gate_bases
+            UNION ALL SELECT symbol, 'diff', first_update_id, last_update_id, 'buffered' FROM gate_early
+            UNION ALL SELECT e.symbol, 'diff', e.first_update_id, e.last_update_id, 'stale' FROM gate_early e
+                JOIN (SELECT symbol, max(snapshot_id) AS newest FROM gate_bases GROUP BY symbol) b
+                  ON b.symbol = e.symbol AND e.last_update_id <= b.newest
+            UNION ALL SELECT e.symbol, 'diff', e.first_update_id, e.last_update_id, 'resync' FROM gate_early e
+                JOIN gate_bases b ON b.symbol = e.symbol AND e.epoch = b.epoch + 1 WHERE e.broken = 1""",
         ),
         "stream_book": query("gate_levels", body=state("gate_levels")),
     }
+    found["stream_gate_one_symbol"] = found["stream_gate"].replace("strftime(ts, '%Y-%m-%d') AS symbol", "'ALL' AS symbol")
+    return found

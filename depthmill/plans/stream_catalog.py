@@ -90,9 +90,16 @@ def gate_input(source: DataFrame) -> DataFrame:
 
 
 def stream_gate(spark: SparkSession, folder: str) -> DataFrame:
-    """Which diffs and snapshots the gate applies."""
+    """What the gate says of every diff and snapshot."""
     statuses = _stored(gate.gate_stream(gate_input(event_stream(spark, folder))), "stream-gate")
-    return statuses.where(F.col("status") == "applied").select("symbol", "kind", "first_update_id", "last_update_id")
+    return statuses.select("symbol", "kind", "first_update_id", "last_update_id", "status")
+
+
+def stream_gate_one_symbol(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with all events under one symbol."""
+    rows = gate_input(event_stream(spark, folder)).withColumn("symbol", F.lit("ALL"))
+    statuses = _stored(gate.gate_stream(rows), "stream-gate-one")
+    return statuses.select("symbol", "kind", "first_update_id", "last_update_id", "status")
 
 
 def stream_book(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,6 +125,7 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_dedup": stream_dedup,
         "stream_bronze_roundtrip": stream_bronze_roundtrip,
         "stream_gate": stream_gate,
+        "stream_gate_one_symbol": stream_gate_one_symbol,
         "stream_book": stream_book,
         "score_model": score_model,
     }

@@ -94,9 +94,14 @@ class SequenceGate(StatefulProcessor):
             if connecting:
                 yield from self._anchor(connecting[0], first, last, levels)
                 return
-            self.waiting += not self.held.containsKey((first,))
-            self.held.updateValue((first,), (last, levels))
-            yield "diff", first, last, "buffered", None
+            known = self.held.getValue((first,)) if self.held.containsKey((first,)) else None
+            if known is not None:
+                # Two diffs from one id on: the longer one holds all changes of the shorter.
+                yield "diff", first, min(last, known[0]), "superseded", None
+            if known is None or last > known[0]:
+                self.waiting += known is None
+                self.held.updateValue((first,), (last, levels))
+                yield "diff", first, last, "buffered", None
             # A diff that overlaps the cursor can never follow it, however many more arrive.
             if self.synced and (self.waiting > self.max_held or first <= self.last_id):
                 self.synced = False
@@ -142,8 +147,9 @@ class SequenceGate(StatefulProcessor):
             self.held.removeKey((first,))
             self.waiting -= 1
             yield self._apply(first, last, levels)
-        if self.waiting > self.max_held:
+        if self.synced and self.waiting > self.max_held:
             self.synced = False
+            yield "diff", self.last_id + 1, self.last_id + 1, "resync", None
 
 
 def gate_stream(rows: DataFrame, max_held: int = 0) -> DataFrame:

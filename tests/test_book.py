@@ -74,6 +74,25 @@ def test_only_the_exact_zero_deletes_in_text_mode(spark):
     assert state_of(K.book_state(levels)) == {}
 
 
+def test_small_and_unreadable_quantities(spark):
+    diff = (1, 1, [["9.0", "0.000000001"], ["8.0", "much"], ["7.0", "2.0"]], [])
+    levels = K.explode_levels(diffs_frame(spark, {"S": [diff, (2, 2, [["7.0", None]], [])]}))
+    assert state_of(K.book_state(levels)) == {("S", "bid", "9.0"): "0.000000001", ("S", "bid", "7.0"): "2.00000000"}
+    assert sorted(r.price for r in K.unreadable_levels(levels).collect()) == ["7.0", "8.0"]
+
+
+def test_wide_ids_give_the_same_book(spark):
+    diffs = random_diffs(random.Random(5), 60)
+    levels = K.explode_levels(diffs_frame(spark, {"S": diffs}))
+    assert state_of(K.book_state(levels, wide_ids=True)) == state_of(K.book_state(levels))
+    far = levels.withColumn("last_update_id", F.col("last_update_id") + F.lit(1 << 62))
+    assert state_of(K.book_state(far, wide_ids=True)) == state_of(K.book_state(levels))
+    with pytest.raises(Exception, match="too large"):
+        K.book_state(far).collect()
+    with pytest.raises(Exception, match="no update id"):
+        K.book_state(levels.withColumn("last_update_id", F.lit(None).cast("long"))).collect()
+
+
 def test_numeric_book_is_a_hash_aggregation(spark):
     levels = K.explode_levels(diffs_frame(spark, {"S": random_diffs(random.Random(1), 5)}))
     plan = K.book_state(levels)._jdf.queryExecution().executedPlan().toString()

@@ -246,6 +246,14 @@ def test_gate_does_not_depend_on_the_size_of_a_batch(spark, folder, parts):
     assert out.where("status = 'applied' AND kind = 'diff'").count() == count
 
 
+def test_gate_keeps_the_longer_of_two_diffs_and_announces_every_gap(spark, folder):
+    same = [("S", "diff", 1, 3, levels([], [])), ("S", "diff", 1, 5, levels([], []))]
+    later = [("S", "diff", i, i, levels([], [])) for i in (8, 9)]
+    out = run_gate(spark, folder, [same + later, [as_snapshot(0)]], max_held=0)
+    found = {(r.status, r.first_update_id, r.last_update_id) for r in out.where("kind = 'diff'").collect()}
+    assert ("superseded", 1, 3) in found and ("applied", 1, 5) in found and ("resync", 6, 6) in found
+
+
 def test_replay_model_raises_on_gaps():
     replay = Replay()
     replay.load(0, [], [])

@@ -117,3 +117,14 @@ def test_stalls_match_a_minute_by_minute_watch(spark):
     assert all(r.message == f"ALERT: kafka has failed {r.consecutive_failures} consecutive checks" for r in got)
     growth = [r.new_messages for r in M.offset_growth(active).orderBy("window_start").collect()]
     assert growth == [None] + [10] * (len(heard) - 1)
+
+
+def test_running_silence_is_a_run(spark):
+    ticks = spark.createDataFrame(
+        [("A", minute(0), 1), ("A", minute(1), 2), ("B", minute(0), 1), ("B", minute(540), 2)], "symbol string, event_ts timestamp, last_update_id long"
+    )
+    found = M.stall_runs(M.activity(ticks), now=F.lit(minute(540)))
+    assert sorted((r.symbol, r.stall_start, r.recovered_at, r.consecutive_failures) for r in found.collect()) == [
+        ("A", minute(2), None, 538),
+        ("B", minute(1), minute(540), 539),
+    ]
