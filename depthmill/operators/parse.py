@@ -63,6 +63,7 @@ def parse_depth(df: DataFrame, value: str = "value", default_symbol: str = DEFAU
         .when(F.col("unparsed").isNotNull(), "unparseable")
         .when(F.col("event_ms").isNull(), "no_event_time")
         .when(F.col("first_update_id").isNull() | F.col("last_update_id").isNull(), "no_update_id")
+        .when(F.col("first_update_id") > F.col("last_update_id"), "reversed_ids")
     )
     return message.select(
         F.date_format(event_ts, "yyyy-MM-dd HH:mm:ss").alias("event_time"),

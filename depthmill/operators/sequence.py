@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depthmill.operators.book import book_state
 from depthmill.operators.ordered import running_totals, sliced_window, with_neighbours, without_neighbours
 
 # Ids per slice of a symbol's sequence: bounds a task, and the carried borders stay one row per slice.
@@ -86,3 +87,19 @@ def synchronise(messages: DataFrame, snapshots: DataFrame, slice_ids: int = SLIC
     )
     # An epoch can be a whole symbol, so the join is left to adaptive skew handling; one row per epoch is small.
     return numbered.join(bases, ["symbol", "epoch"], "left").withColumn("status", status)
+
+
+def epoch_books(synchronised: DataFrame, levels: DataFrame, snapshot_levels: DataFrame | None = None) -> DataFrame:
+    """Book at the end of every anchored epoch: (symbol, epoch, side, price, qty, last_update_id).
+
+    `synchronised` is what `synchronise` returns, `levels` the level changes of its messages (joined by symbol and
+    ids), `snapshot_levels` the levels of snapshots by `snapshot_id`, which lie under the epoch's applied changes.
+    """
+    applied = synchronised.where(F.col("status") == "applied")
+    ids = ["symbol", "first_update_id", "last_update_id"]
+    changes = levels.join(applied.select(*ids, "epoch"), ids)
+    base = None
+    if snapshot_levels is not None:
+        anchors = applied.select("symbol", "epoch", "snapshot_id").distinct()
+        base = snapshot_levels.join(anchors, ["symbol", "snapshot_id"]).select(*changes.columns)
+    return book_state(changes, base=base, keys=("symbol", "epoch"))

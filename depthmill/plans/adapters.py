@@ -8,7 +8,7 @@ dropped or capped. Remainders of ids only decide what a row looks like (a missin
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthmill.constants import DEFAULT_SYMBOL
+from depthmill.constants import DEFAULT_SYMBOL, FEATURE_COLS
 from depthmill.functions import scoring as S
 from depthmill.session import prepare
 
@@ -141,6 +141,22 @@ def scores(source: DataFrame) -> DataFrame:
     return source.select(F.col("value").alias("score"), (F.col("user_id") % 3 == 0).cast("int").alias("label"))
 
 
+def separable_rows(source: DataFrame) -> DataFrame:
+    """Labelled feature rows, one per event, whose label shows in the sign of one feature.
+
+    A tree of depth 1 finds that sign, so a model's answers can be stated without the model.
+    """
+    up = F.col("event_id") % 3 == 0
+    shown = F.when(up, 1.0 + F.col("event_id") % 7).otherwise(-1.0 - F.col("event_id") % 5)
+    features = {c: shown if c == "spread_change" else F.lit(0.5) for c in FEATURE_COLS}
+    return source.select(
+        F.col("event_type").alias("symbol"),
+        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))).alias("window_start"),
+        up.cast("int").alias("label"),
+        *[value.cast("double").alias(name) for name, value in features.items()],
+    )
+
+
 def prediction_log(source: DataFrame) -> DataFrame:
     probability = (F.col("value") % 100) / 100
     called = S.direction(probability, LOG_THRESHOLD)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from depthmill.operators import features as X
 from depthmill.operators import model as M
 from depthmill.operators import staging as S
 from depthmill.plans import adapters as A
@@ -110,12 +109,10 @@ def stream_book(spark: SparkSession, folder: str) -> DataFrame:
 
 def score_model(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on the past, then the answer for every held-out bar at the best threshold."""
-    bars = catalog.hourly(A.events(spark, folder))
-    trained = training.train_and_evaluate(bars)
-    test = X.mark_split(X.training_set(bars)).where(F.col("is_test"))
+    trained = training.train_and_evaluate(catalog.hourly(A.events(spark, folder)))
     best = trained.description.select("optimal_threshold").scalar()
     moment = F.lit("2024-02-01").cast("timestamp")
-    answers = M.predictions(test, trained.model, best, moment).drop("features_used")
+    answers = M.predictions(trained.test, trained.model, best, moment).drop("features_used")
     return catalog.comparable(answers)
 
 

@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthmill.constants import MODEL_VERSION
+from depthmill.constants import MODEL_GATE_AUC, MODEL_VERSION
 from depthmill.operators import evaluation as E
 from depthmill.operators import features as X
 from depthmill.operators import model as M
@@ -22,14 +22,20 @@ class Trained:
     metrics: DataFrame
     default_metrics: DataFrame
     description: DataFrame
+    test: DataFrame
 
 
 def train_and_evaluate(bars: DataFrame, every_column: bool = False, version: str = MODEL_VERSION, **boosting) -> Trained:
-    """Training set, time split, fit on the past, threshold and metrics on the rest.
+    """Training set of bars, then `fit_and_evaluate`."""
+    return fit_and_evaluate(X.training_set(bars, every_column=every_column), version, **boosting)
 
-    The training set and the scored test rows are written once: several passes read each of them.
+
+def fit_and_evaluate(labelled: DataFrame, version: str = MODEL_VERSION, **boosting) -> Trained:
+    """Time split, fit on the past, threshold and metrics on the rest.
+
+    The labelled rows and the scored test rows are written once: several passes read each of them.
     """
-    rows = written(X.training_set(bars, every_column=every_column), "training")
+    rows = written(labelled, "training")
     X.require_rows(rows)
     boundary = written(X.split_boundary(rows), "boundary")
     marked = X.mark_split(rows, boundary=boundary)
@@ -40,7 +46,7 @@ def train_and_evaluate(bars: DataFrame, every_column: bool = False, version: str
     metrics = written(E.evaluate(scored, threshold.select("threshold").scalar()), "metrics")
     default = E.evaluate(scored, 0.5)
     described = M.metadata(metrics, threshold, train, boundary, version)
-    return Trained(model, metrics, default, written(described, "description"))
+    return Trained(model, metrics, default, written(described, "description"), test)
 
 
 def save(trained: Trained, folder: str, version: str) -> str:
@@ -87,15 +93,17 @@ def scoring_batches(model: PipelineModel, threshold: float, log_path: str):
     return write
 
 
-def retrain_if_drifted(bars: DataFrame, log: DataFrame, folder: str, version: str = MODEL_VERSION, **boosting) -> str:
-    """Drift check, then train, evaluate and publish; any failure leaves the current model in place."""
+def retrain_if_drifted(
+    bars: DataFrame, log: DataFrame, folder: str, version: str = MODEL_VERSION, minimum_auc: float = MODEL_GATE_AUC, **boosting
+) -> str:
+    """Drift check, then train and evaluate; only a model that passes `acceptance` is published."""
     status = drift(log).first()["status"]
     if status != "drift_detected":
         return "skipped"
     trained = train_and_evaluate(bars, version=version, **boosting)
-    if M.missing_keys(trained.description):
-        return "failed"
     path = save(trained, folder, version)
     append_log(M.run_record(path.rsplit("/", 1)[1], {**M.BOOSTING, **boosting}, trained.metrics), f"{folder}/model_runs")
+    if not M.acceptance(trained.description, minimum_auc).first()["accepted"]:
+        return "rejected"
     publish(bars.sparkSession, folder, path)
     return "retrained"

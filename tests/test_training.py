@@ -70,7 +70,9 @@ def test_retrain_only_on_drift(spark, bars, folder):
         return spark.createDataFrame(data, "ts timestamp, symbol string, prediction string, confidence double, probability double")
 
     assert training.retrain_if_drifted(bars, log(["up", "down"]), folder) == "skipped"
-    assert training.retrain_if_drifted(bars, log(["up"] * 10), folder, maxIter=2) == "retrained"
+    assert training.retrain_if_drifted(bars, log(["up"] * 10), folder, minimum_auc=1.0, maxIter=2) == "rejected"
+    folder += "/second"
+    assert training.retrain_if_drifted(bars, log(["up"] * 10), folder, minimum_auc=0.0, maxIter=2) == "retrained"
     runs = spark.read.parquet(folder + "/model_runs").first()
     assert runs.params["maxIter"] == "2" and "roc_auc" in runs.metrics
     assert training.current_path(spark, folder).endswith(runs.run_id)
