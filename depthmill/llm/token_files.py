@@ -39,6 +39,11 @@ _TRAILER = struct.Struct("<QQQQ8s")  # documents, blocks, ids, place of the foot
 _ROW = "part int, seq int, path string, n_docs long, n_ids long"
 
 
+def _holder(width: int) -> np.dtype:
+    """The smallest kind of integer that packed values of `width` bits are taken from and put into."""
+    return np.dtype("<u1" if width <= 8 else "<u2" if width <= 16 else "<u4")
+
+
 def pack_blocks(ids: np.ndarray) -> list[bytes]:
     """Blocks of at most BLOCK ids; the last is filled up with its own last id."""
     count = -(-len(ids) // BLOCK)
@@ -56,8 +61,9 @@ def pack_blocks(ids: np.ndarray) -> list[bytes]:
     out: list[bytes] = [b""] * count
     for w in np.unique(width).tolist():
         own = np.flatnonzero(width == w)
-        bits = ((rest[own][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1).astype(np.uint8).reshape(len(own), -1)
-        body = np.packbits(bits, axis=1, bitorder="little")
+        kind = _holder(w)
+        bits = np.unpackbits(rest[own].astype(kind).view(np.uint8).reshape(len(own), BLOCK, kind.itemsize), axis=2, bitorder="little")
+        body = np.packbits(bits[:, :, :w].reshape(len(own), -1), axis=1, bitorder="little")
         for k, i in enumerate(own.tolist()):
             at = np.flatnonzero(beyond[i])
             out[i] = struct.pack("<IBH", least[i], w, len(at)) + body[k].tobytes() + at.astype(np.uint8).tobytes() + beyond[i][at].astype("<u4").tobytes()
@@ -75,7 +81,10 @@ def unpack_blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         size = BLOCK * w // 8
         if size:
             bits = np.unpackbits(data[starts[own][:, None] + _HEAD + np.arange(size)], axis=1, bitorder="little").reshape(len(own), BLOCK, w)
-            out[own] = (bits.astype(np.uint32) << np.arange(w, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+            kind = _holder(w)
+            wide = np.zeros((len(own), BLOCK, 8 * kind.itemsize), np.uint8)
+            wide[:, :, :w] = bits
+            out[own] = np.packbits(wide, axis=2, bitorder="little").reshape(len(own), -1).view(kind)
     owner = np.repeat(np.arange(len(starts)), extra)
     if len(owner):
         k = np.arange(len(owner)) - np.repeat(np.cumsum(extra) - extra, extra)
