@@ -31,6 +31,8 @@ PERCENTILE = 90
 END_ID = 0
 #: Ids after which a file is closed (a document isn't cut).
 FILE_IDS = 1 << 22
+#: Parts of texts that a worker remembers.
+PARTS_HELD = 1_200_000
 #: Tasks that read files.
 READERS = 10_000
 MAGIC = b"PFORIDS1"
@@ -166,7 +168,7 @@ def read_file(path: str, at_once: int = 2048) -> Iterator[tuple[int | None, np.n
         held = whole[length:]
 
 
-def _write(folder: str, tokenizer: str, end_id: int, file_ids: int):
+def _write(folder: str, tokenizer: str, end_id: int, file_ids: int, parts_held: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, writer = TaskContext.get().partitionId(), 0, None
         end = np.array([end_id], np.uint32).tobytes()
@@ -176,7 +178,7 @@ def _write(folder: str, tokenizer: str, end_id: int, file_ids: int):
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [f"{folder}/{name}"], "n_docs": [n_docs], "n_ids": [n_ids]})
 
         for batch in blocks(batches, "text", PIECE):
-            for doc, ids in zip(batch.column("id").to_pylist(), encoder(tokenizer).encode(encoded(batch.column("text"))), strict=True):
+            for doc, ids in zip(batch.column("id").to_pylist(), encoder(tokenizer, parts_held).encode(encoded(batch.column("text"))), strict=True):
                 writer = writer or Writer(folder)
                 writer.add(doc, np.frombuffer(ids + end, np.uint32))
                 if writer.n_ids >= file_ids:
@@ -188,7 +190,7 @@ def _write(folder: str, tokenizer: str, end_id: int, file_ids: int):
     return write
 
 
-def write_files(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_ids: int = FILE_IDS) -> DataFrame:
+def write_files(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, file_ids: int = FILE_IDS, parts_held: int = PARTS_HELD) -> DataFrame:
     """Write all documents in ascending id order; the manifest (part, seq, path, n_docs, n_ids, start), start being the ids before a file.
 
     A null or empty text is its end id alone. Rows without an id come first; rows that repeat an id follow each other,
@@ -197,7 +199,7 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str | None = None, id_c
     folder = folder or work_dir(docs.sparkSession, "token-files")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = source.repartitionByRange("id").sortWithinPartitions("id", "text")
-    manifest = written(ordered.mapInArrow(_write(folder, tokenizer, end_id, file_ids), _ROW), "token-manifest")
+    manifest = written(ordered.mapInArrow(_write(folder, tokenizer, end_id, file_ids, parts_held), _ROW), "token-manifest")
     # One row per file: a running sum over the manifest is small.
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

@@ -157,3 +157,13 @@ def test_scores_are_probabilities(spark):
     counts, discount = np.array([5, 1, 1, 3]), 0.5
     assert ((counts - discount).sum() + discount * len(counts)) / counts.sum() == pytest.approx(1)
     assert re.fullmatch("[0-9]+", str(maxent.CLASSES))
+
+
+@pytest.mark.parametrize("path", [queries.WORD_BPE, queries.BYTE_BPE])
+def test_words_of_latin_letters_have_the_tokenizers_ids(path):
+    encoder = bpe.Encoder(path, held=5)
+    letters = [chr(c) for c in range(0x100) if chr(c).isalpha()]
+    words = ["".join(letters[(i * 7 + k * k) % len(letters)] for k in range(1 + i % 13)) for i in range(600)] + letters
+    for text in (" ".join(words), "\n".join(words), ", ".join(words), "Ωmega ĳ ŉ İstanbul Straße ÀÉÎ ªº µ"):
+        for _ in range(2):
+            assert np.frombuffer(encoder.encode([text.encode()])[0], np.uint32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
