@@ -255,16 +255,24 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), radius))
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
-    known = written(named.join(least, "root").select("fp", "component"), "fingerprint-components")
+    return named(prints, distinct, components(links(distinct.select("fp"), radius)))
+
+
+def named(prints: DataFrame, distinct: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, fp, component) from (id, fp), (fp, least id) and the roots of linked fingerprints."""
+    known = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    least = known.groupBy("root").agg(F.min("least").alias("component"))
+    known = written(known.join(least, "root").select("fp", "component"), "fingerprint-components")
     return prints.join(known, "fp", "left").select("id", "fp", "component")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of `docs` that have the smallest id of their component; of rows that repeat an id one stays."""
-    found = near_copies(docs, id_col, text_col, radius)
+    return first_of(docs, near_copies(docs, id_col, text_col, radius), id_col)
+
+
+def first_of(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """The rows of `docs` whose id is the component's in `found`, one of each id, and those without an id."""
     keep = found.where(F.col("id") == F.col("component")).select(F.col("id").alias("_keep")).distinct()
     rows = docs.join(keep, F.col(id_col) == F.col("_keep"), "left_semi")
     nameless = docs.where(F.col(id_col).isNull())
