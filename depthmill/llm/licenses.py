@@ -4,9 +4,10 @@ A template and a stretch of text are aligned on the words that occur once in eac
 these anchors is kept, and the gaps between them are aligned the same way, where other words have become unique. Equal
 words at the borders of a gap are taken too. The share of template words matched is the coverage.
 
-Words that a template lacks can't match and are left out of its text first. A long text is aligned in overlapping
-stretches of twice the template's length, so that a license that stands there twice is found. A template is tried only where
-its words, counted with repeats, can reach the coverage at all, which is an exact bound.
+Words that a template lacks stay in the text, so matched words keep their distances. A text is aligned in overlapping
+stretches of twice the template's length, which bounds the span of a match and finds a license that stands there twice. A
+template is tried only where its words, counted with repeats, can reach the coverage at all, which is an exact bound. A
+notice of up to `SHORT` words differs from another license's by a word, so it must stand there whole, word after word.
 """
 
 from bisect import bisect_left
@@ -22,6 +23,8 @@ from depthmill.llm.leaks import item_words
 from depthmill.llm.texts import blocks, encoded
 
 COVERAGE = 0.8
+#: Words of a notice that has to match whole, without other words in between.
+SHORT = 20
 
 #: Names and notices of common licenses, as their holders publish them.
 TEMPLATES = {
@@ -95,6 +98,15 @@ def best_stretch(text: list, template: list, least: int) -> list[tuple[int, int]
     return best if len(best) >= least else []
 
 
+def whole(text: list, template: list) -> list[tuple[int, int]]:
+    """The first place where all words of a template stand one after another; empty without one."""
+    size = len(template)
+    for start in range(len(text) - size + 1):
+        if text[start] == template[0] and text[start : start + size] == template:
+            return [(start + j, j) for j in range(size)]
+    return []
+
+
 class Templates:
     """Templates as numbers of their common vocabulary."""
 
@@ -122,16 +134,17 @@ class Templates:
         have = np.bincount(owner * size + number, minlength=len(texts) * size).reshape(len(texts), size)
         edges = np.searchsorted(owner, np.arange(len(texts) + 1))
         for t, need in enumerate(self.need):
-            least = max(1, int(np.ceil(coverage * need.sum() - 1e-9)))
+            short = need.sum() <= SHORT
+            least = max(1, int(np.ceil((1.0 if short else coverage) * need.sum() - 1e-9)))
             if not need.any():
                 continue
             for i in np.flatnonzero(np.minimum(have, need).sum(axis=1) >= least).tolist():
                 own = slice(edges[i], edges[i + 1])
-                mine = need[number[own]] > 0
-                place = at[own][mine] - words.first[i]
-                found = best_stretch(number[own][mine].tolist(), self.words[t], least)
+                text = np.full(words.counts[i], -1)
+                text[at[own] - words.first[i]] = number[own]
+                found = whole(text.tolist(), self.words[t]) if short else best_stretch(text.tolist(), self.words[t], least)
                 if found:
-                    yield i, t, len(found), int(place[found[0][0]]), int(place[found[-1][0]])
+                    yield i, t, len(found), found[0][0], found[-1][0]
 
 
 def licensed(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, text_col: str = "text") -> DataFrame:
