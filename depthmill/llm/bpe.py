@@ -2,8 +2,8 @@
 
 Tokenizers split a text into parts before they merge anything, so a text's ids are those of its parts in order. Cuts
 are made only where the tokenizer itself cuts for certain: at a single space or line feed between other characters, and
-between a run of letters and the ASCII punctuation after it. A text with other white space is encoded whole. Words of
-Latin letters go straight to the merges, as the steps before them change nothing else there. The memory is bounded; its
+between a run of letters and the ASCII punctuation after it. A text with other white space, or with the string of a
+special token that the tokenizer finds in texts, is encoded whole. Words of Latin letters go straight to the merges, as the steps before them change nothing else there. The memory is bounded; its
 size changes the time taken, never the ids.
 """
 
@@ -33,17 +33,20 @@ _WRITTEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, held: int = PARTS_HELD) -> "Encoder":
+def encoder(path: str, held: int = PARTS_HELD, plain: bool = False) -> "Encoder":
     """The encoder of a vocabulary file; one per worker, kept between tasks. It remembers about `held` parts, some 200 bytes each."""
-    return Encoder(path, held)
+    return Encoder(path, held, plain)
 
 
 class Encoder:
-    def __init__(self, path: str, held: int = PARTS_HELD):
+    """`plain`: the strings of special tokens are ordinary text; else they become their ids, as in the tokenizer as loaded."""
+
+    def __init__(self, path: str, held: int = PARTS_HELD, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        self.special = [] if plain else [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.held = self.tokenizer.model, held
         self.parts: dict[bytes, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -77,9 +80,29 @@ class Encoder:
         skip = 0 if self.drops_space else 4 * len(self.feed)
         return [self._ids(t.decode()) if parts is None else b"".join(map(get, parts))[skip if t else 0 :] for t, parts in zip(texts, cut, strict=True)]
 
+    def after_space(self, texts: list[bytes]) -> list[list[bytes] | None]:
+        """Parts of space + text for each text (for vocabularies that keep spaces); each follows one space or begins with its line feed. None: can't be cut."""
+        cut = [self._cut(t) for t in texts]
+        return [[parts[0][1:], *parts[1:]] if parts else parts for parts in cut]
+
+    def part_ids(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of parts as `after_space` gives them."""
+        if len(self.parts) > self.held:
+            self.parts.clear()
+            self.tails.clear()
+        self._learn(set(parts).difference(self.parts))
+        return [self.parts[p] for p in parts]
+
+    def whole_ids(self, text: bytes) -> bytes:
+        """Ids of a text that isn't cut."""
+        return self._ids(text.decode())
+
     def _cut(self, text: bytes) -> list[bytes] | None:
+        low = text.lower() if self.special or self.drops_space else text
+        if any(name in low for name in self.special):
+            return None
         if self.drops_space:
-            return text.lower().split()  # lower case of ASCII letters comes before the tokenizer's own, and changes nothing
+            return low.split()  # lower case of ASCII letters comes before the tokenizer's own, and changes nothing
         if not text:
             return []
         if b"  " in text or b" \n" in text or b"\n " in text or b"\n\n" in text or text[:1].isspace() or text[-1:].isspace():

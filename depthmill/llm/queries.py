@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthmill.llm import curve_packing, fingerprints, leaks, licenses, maxent, preferences, quality_votes, repeats, token_files, warc_derivatives
+from depthmill.llm import aligned_tokens, curve_packing, fingerprints, leaks, licenses, maxent, preferences, quality_votes, repeats, token_files, warc_derivatives
 
 #: Vocabulary files are named here and read where they lie.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: The pages don't tell when they were captured.
 CAPTURED = "2024-01-01T00:00:00Z"
 
@@ -69,6 +70,11 @@ def op10_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaked(_documents(spark, folder), _table(spark, folder, "benchmark")).drop("text")
 
 
+def op13_aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    found = aligned_tokens.aligned(_documents(spark, folder), BYTE_BPE, PIECE_BPE)
+    return found.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of the subpackage by name."""
     import corpus_pipeline
@@ -84,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_derivatives,
         op9_near_copies,
         op10_leaks,
+        op13_aligned_tokens,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 

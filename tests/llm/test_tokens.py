@@ -22,7 +22,6 @@ ODD = [
 
 def reference(path, rows, end):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, end]) for i, t in rows]
 
 
