@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthmill.llm import aligned_tokens, curve_packing, fingerprints, leaks, licenses, maxent, preferences, quality_votes, repeats, token_files, warc_derivatives
+from depthmill.llm import aligned_tokens, curve_packing, fingerprints, hard_negatives, leaks, licenses, maxent, preferences, quality_votes, repeats, token_files, url_rules, warc_derivatives
 
 #: Vocabulary files are named here and read where they lie.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,16 @@ def op10_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaked(_documents(spark, folder), _table(spark, folder, "benchmark")).drop("text")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(_table(spark, folder, "embeddings").select("vec_id", "label", "embedding"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    index = url_rules.build(url_rules.rule_table(spark, url_rules.RULES))
+    return url_rules.judged(_table(spark, folder, "pages").select("page_id", "url"), index).drop("url")
+
+
 def op13_aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
     found = aligned_tokens.aligned(_documents(spark, folder), BYTE_BPE, PIECE_BPE)
     return found.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
@@ -90,6 +100,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_derivatives,
         op9_near_copies,
         op10_leaks,
+        op11_hard_negatives,
+        op12_url_rules,
         op13_aligned_tokens,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
@@ -97,4 +109,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins, where SQL can say it; the others are tested against plain versions."""
-    return {"op5_preferences": preferences.ORACLE_SQL}
+    return {"op5_preferences": preferences.ORACLE_SQL, "op11_hard_negatives": hard_negatives.ORACLE_SQL, "op12_url_rules": url_rules.ORACLE_SQL}
