@@ -25,9 +25,9 @@ from depthmill.llm.texts import blocks, encoded
 from depthmill.session import written
 
 #: Bytes of text in a block (a longer text is a block by itself).
-BLOCK = 8 << 20
+BLOCK = 3 << 20
 #: Parts that a worker remembers, some 250 bytes each.
-PARTS_HELD = 500_000
+PARTS_HELD = 200_000
 #: Id pairs whose counts are sent to every task, 17 bytes each; the others are joined.
 FREQUENT = 1 << 17
 #: Pairs that a task gathers before it hands counts on.
@@ -70,8 +70,8 @@ class Aligner:
 
     def ids(self, parts: list[bytes]) -> list[tuple[bytes, bytes] | None]:
         """Unsigned 32-bit ids of A and of B for each part, or None where their bytes differ from the part's."""
-        if len(self.known) > self.held:
-            self.known.clear()
+        if len(self.known) > self.held:  # keep what is asked for now
+            self.known = {p: self.known[p] for p in parts if p in self.known}
         words = [p for p in parts if p not in self.known and p[:1] != b" "]
         found = self._checked([p if p[:1] == b"\n" else b" " + p for p in words], self.a.part_ids(words), self.b.encode([p.decode() for p in words], num_threads=1) if words else [])
         self.known.update(zip(words, found, strict=True))
