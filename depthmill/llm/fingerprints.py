@@ -9,13 +9,15 @@ fingerprint (to the smallest of its local component), never all pairs. Links are
 A ball of Hamming radius 4 holds 679,121 fingerprints of 64 bits at most, which bounds a shard that cannot be cut.
 """
 
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthmill.llm.components import components
@@ -83,13 +85,18 @@ def majority(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches, "text"):
         prints = simhash(encoded(batch.column("text"))).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints)], names=["id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("own"), pa.array(prints)], names=["id", "own", "fp"])
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, own, text): `own` tells the texts of rows that repeat an id apart."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("own"), text.alias("text"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of every row, as a signed long. A null text has no words."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(_fingerprint_batches, "id long, fp long")
+    """(id, own, fp): the fingerprint of every row, as a signed long. A null text has no words."""
+    return keyed_texts(docs, id_col, text_col).mapInArrow(_fingerprint_batches, "id long, own long, fp long")
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:
@@ -248,7 +255,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROW
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(id, fp, component): each row's fingerprint and the smallest id that links reach.
+    """(id, own, fp, component): each row's fingerprint and the smallest id that links reach; `own` is a hash of its text.
 
     Null text: no words, fingerprint zero, linked like any other. Null ids never are the smallest unless nothing else
     is there (then null). Repeated rows stay. An empty table gives an empty result. Other columns are ignored.
@@ -259,24 +266,35 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def named(prints: DataFrame, distinct: DataFrame, roots: DataFrame) -> DataFrame:
-    """(id, fp, component) from (id, fp), (fp, least id) and the roots of linked fingerprints."""
+    """(id, own, fp, component) from (id, own, fp), (fp, least id) and the roots of linked fingerprints."""
     known = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     least = known.groupBy("root").agg(F.min("least").alias("component"))
     known = written(known.join(least, "root").select("fp", "component"), "fingerprint-components")
-    return prints.join(known, "fp", "left").select("id", "fp", "component")
+    return prints.join(known, "fp", "left").select("id", "own", "fp", "component")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs` that have the smallest id of their component; of rows that repeat an id one stays."""
-    return first_of(docs, near_copies(docs, id_col, text_col, radius), id_col)
+    """One row of `docs` for each component: see `first_of`."""
+    return first_of(docs, near_copies(docs, id_col, text_col, radius), id_col, text_col)
 
 
-def first_of(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    """The rows of `docs` whose id is the component's in `found`, one of each id, and those without an id."""
-    keep = found.where(F.col("id") == F.col("component")).select(F.col("id").alias("_keep")).distinct()
-    rows = docs.join(keep, F.col(id_col) == F.col("_keep"), "left_semi")
-    nameless = docs.where(F.col(id_col).isNull())
-    return rows.dropDuplicates([id_col]).unionByName(nameless)
+def first_of(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of every component in `found` the row of `docs` with the smallest id, and all rows without an id.
+
+    Rows are told apart by id and text: of rows that repeat an id, each one's own component decides. Of a component's rows
+    with its smallest id the one whose text hashes lowest stays, of equal texts the one whose other columns do.
+    """
+    first = found.where(F.col("id") == F.col("component")).groupBy("id").agg(F.min("own").alias("own"))
+    name = {c: f"_{uuid.uuid4().hex}" for c in ("row", "id", "own", "order")}  # no column of `docs` has such a name
+    text = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name["row"]), F.col(f"`{id_col}`").cast("long").alias(name["id"]), text.alias(name["own"]))
+    kept = rows.join(first, (rows[name["id"]] == first["id"]) & (rows[name["own"]] == first["own"]), "left_semi")
+    hashed = [F.col(name["row"])[f.name] for f in docs.schema if not re.search("map|variant", f.dataType.simpleString())]
+    place = F.row_number().over(Window.partitionBy(name["id"], name["own"]).orderBy(F.xxhash64(*hashed)))
+    kept = kept.withColumn(name["order"], place).where(F.col(name["order"]) == 1).select(name["row"])
+    nameless = rows.where(F.col(name["id"]).isNull()).select(name["row"])
+    every = kept.unionByName(nameless)
+    return every.select(*[F.col(name["row"])[c].alias(c) for c in docs.columns])
 
 
 def hexadecimal(fp: str = "fp"):

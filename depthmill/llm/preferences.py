@@ -61,16 +61,17 @@ def preference_pairs(turns: DataFrame, learned: str = LEARNED) -> DataFrame:
 
 
 def swapped_replies(conversations: DataFrame, learned: str = LEARNED) -> DataFrame:
-    """Turns of pairs made from plain conversations: the chosen side ends with the last reply, the rejected one with another's.
+    """Turns of pairs made from plain conversations: the rejected side has another conversation's last reply in place of its own.
 
     The other reply is the last one of the conversation whose id differs in the lowest bit; without one it is empty.
-    A conversation without a reply is on both sides as it is.
+    All turns stay, on both sides: those after the last reply, and those without a turn number, which come first. A
+    conversation without a numbered reply, and rows without a conversation, are on both sides as they are.
     """
     turns = conversations.select("conv_id", "turn", "role", "text")
-    last = turns.where(F.col("role") == learned).groupBy("conv_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last"))
+    last = turns.where((F.col("role") == learned) & F.col("turn").isNotNull()).groupBy("conv_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last"))
     other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("last.text").alias("reply"))
     ends = last.select("conv_id", F.col("last.turn").alias("end")).join(other, "conv_id", "left")
-    known = turns.join(ends, "conv_id", "left").where("end is null or turn <= end")
+    known = turns.join(ends, "conv_id", "left")
     swap = (F.col("turn") == F.col("end")) & (F.col("role") == learned)
     sides = F.array(
         F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text")),
@@ -87,18 +88,17 @@ def spans_text(spans: str) -> Column:
 #: The pairs of swapped_replies, row by row in SQL.
 ORACLE_SQL = """
 WITH last AS (
-  SELECT conv_id, max(turn) AS stop, arg_max(text, turn) AS reply FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+  SELECT conv_id, max(turn) AS stop, arg_max(text, turn) AS reply FROM conversations WHERE role = 'assistant' AND turn IS NOT NULL GROUP BY conv_id
 ), known AS (
   SELECT c.conv_id AS pair_id, c.turn, c.role, c.text AS chosen_text,
     CASE WHEN c.turn = l.stop AND c.role = 'assistant' THEN coalesce(o.reply, '') ELSE c.text END AS rejected_text
   FROM conversations c LEFT JOIN last l ON l.conv_id = c.conv_id LEFT JOIN last o ON xor(o.conv_id, 1) = c.conv_id
-  WHERE l.stop IS NULL OR c.turn <= l.stop
 ), sides AS (
   SELECT pair_id, 'chosen' AS side, turn, role, chosen_text AS text FROM known
   UNION ALL SELECT pair_id, 'rejected', turn, role, rejected_text FROM known
 ), shown AS (
   SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown,
-    row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS place
+    row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text) AS place
   FROM sides
 ), differs AS (
   SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, min(coalesce(c.place, r.place)) AS place

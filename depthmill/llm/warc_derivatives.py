@@ -1,6 +1,7 @@
 """Derived records of web captures: a metadata and a plain-text conversion record for every response record.
 
-Both name the response they come from (WARC-Refers-To), keep its target and date, and carry digests of their own block.
+Both name the response they come from (WARC-Refers-To, with its target and date), keep its target, date and payload digest,
+and carry a digest of their own block.
 The metadata record holds, as JSON, the source's WARC and HTTP headers and digests, the page's title, language and meta
 entries, and its links made absolute. The conversion record holds the text a reader sees, a line per block.
 
@@ -27,11 +28,13 @@ _SILENT = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg)\b.
 _BREAKS = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z!?][^>]*>")
 _BLANKS = re.compile(r"[^\S\n]+")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
+_TITLE_END = re.compile(r"</title\s*>", re.I)
+_HTML = re.compile(r"<html\b([^>]*)>", re.I)
+_LANG = re.compile(r"\blang\s*+=\s*[\"']?([\w-]+)", re.I)
 _LINK = re.compile(r"<(a|area|img|link|iframe|script)\b([^>]*)>", re.I)
 _META = re.compile(r"<meta\b([^>]*)>", re.I)
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTRIBUTE = re.compile(r"(?<![\w:.-])([a-zA-Z_:][\w:.-]*+)\s*+=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 FIELDS = "record_id string, warc_type string, refers_to string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, source_digest string, header string, block string"
 
@@ -49,10 +52,20 @@ def attributes(tag: str) -> dict[str, str]:
     return out
 
 
+def closed(page: str) -> str:
+    """A page up to its last `>`. Beyond it no tag ends, and looking for an end there at every `<` would take quadratic time."""
+    return page[: page.rfind(">") + 1]
+
+
+def without(pattern: re.Pattern, by: str, text: str) -> str:
+    tags = closed(text)
+    return pattern.sub(by, tags) + text[len(tags) :]
+
+
 def plain_text(page: str) -> str:
     """What a reader sees: a line per block, blanks squeezed."""
-    text = _BREAKS.sub("\n", _DROPPED.sub(" ", page).replace("\n", " "))
-    text = html.unescape(_TAG.sub("", text))
+    text = without(_BREAKS, "\n", _DROPPED.sub(" ", page).replace("\n", " "))
+    text = html.unescape(without(_TAG, "", text))
     lines = (_BLANKS.sub(" ", x).strip() for x in text.split("\n"))
     return "\n".join(x for x in lines if x)
 
@@ -60,8 +73,11 @@ def plain_text(page: str) -> str:
 def page_facts(page: str, base: str) -> dict:
     """Title, language, meta entries and links of a page."""
     seen = _SILENT.sub(lambda m: m[0][: m[0].find(">") + 1] if not m[0].startswith("<!--") else " ", page)
-    title = _TITLE.search(seen)
-    lang = _LANG.search(seen)
+    seen = closed(seen)
+    title, end = _TITLE.search(seen), None
+    if title:
+        end = _TITLE_END.search(seen, title.end())
+    lang = next((found for m in _HTML.finditer(seen) if (found := _LANG.search(m[1]))), None)
     metas = [{k: v for k, v in attributes(m[1]).items() if k in ("name", "property", "charset", "content", "http-equiv")} for m in _META.finditer(seen)]
     links = []
     for m in _LINK.finditer(seen):
@@ -73,7 +89,7 @@ def page_facts(page: str, base: str) -> dict:
             except ValueError:  # not a URL at all: kept as it stands
                 url = target
             links.append({"path": f"{m[1].lower()}@{kind}", "url": url})
-    return {"title": " ".join(html.unescape(title[1]).split()) if title else None, "lang": lang[1].lower() if lang else None, "metas": metas, "links": links}
+    return {"title": " ".join(html.unescape(seen[title.end() : end.start()]).split()) if end else None, "lang": lang[1].lower() if lang else None, "metas": metas, "links": links}
 
 
 def header(fields: list[tuple[str, str | None]]) -> str:
@@ -99,8 +115,10 @@ def derive(record: dict, page: bytes) -> list[dict]:
     out = []
     for kind, media, block in (("metadata", "application/json", json.dumps(envelope, ensure_ascii=False, sort_keys=True)), ("conversion", "text/plain; charset=utf-8", plain_text(text))):
         body = block.encode("utf-8", "replace")
-        name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source}#{kind}')}>"
-        fields = [("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Refers-To", source), ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Block-Digest", digest(body)), ("Content-Type", media), ("Content-Length", str(len(body)))]
+        # A capture without an id is named by what is known of it.
+        known = source if source is not None else json.dumps([uri, date, source_digest])
+        name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{known}#{kind}')}>"
+        fields = [("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date), ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Payload-Digest", source_digest), ("WARC-Block-Digest", digest(body)), ("Content-Type", media), ("Content-Length", str(len(body)))]
         out.append({"record_id": name, "warc_type": kind, "refers_to": source, "target_uri": uri, "warc_date": date, "content_type": media, "content_length": len(body), "block_digest": digest(body), "source_digest": source_digest, "header": header(fields), "block": body.decode()})
     return out
 
@@ -124,7 +142,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
     """Two rows (FIELDS) for every response: its metadata and its conversion record.
 
     `responses` has record_id, target_uri, warc_date, http_head and payload (text or UTF-8 bytes). A null payload is an
-    empty page; null headers are left out of the records. Equal responses give equal records, as often as they stand. An
+    empty page; null headers are left out of the records; the records of a response without an id are named by its target,
+    date and payload. Long pages, and tags that never end, take time in proportion to the page. Equal responses give equal records, as often as they stand. An
     empty table gives none. Other columns pass through in front; where names clash, the derived record's column stays.
     """
     taken = {"record_id", "target_uri", "warc_date", "http_head", "payload", *_SCHEMA.names}

@@ -84,3 +84,40 @@ def leaks(rows, items, width=10):
                     found |= got
         out.append((i, len(w), len(hit), sorted(str(x) for x in found if x is not None)))
     return out
+
+
+def grams(text, size=5):
+    """Set of word shingles; a shorter text is one."""
+    w = words(text, low=True)
+    return frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1)) or (frozenset([tuple(w)]) if w else frozenset())
+
+
+def similar_pairs(sets, least=0.8):
+    """Pairs of places whose sets reach the similarity; counts come from an index of shingles."""
+    index, common = defaultdict(list), defaultdict(int)
+    for i, s in enumerate(sets):
+        for g in s:
+            for j in index[g]:
+                common[j, i] += 1
+            index[g].append(i)
+    return [(a, b) for (a, b), n in common.items() if n >= least * (len(sets[a]) + len(sets[b]) - n) - 1e-9]
+
+
+def similar_classes(rows):
+    """Smallest id that links of similar texts reach, for each of (id, text) rows."""
+    sets = [grams(t) for _, t in rows]
+    distinct = sorted(set(sets), key=sorted)
+    parent = {s: s for s in distinct}
+
+    def find(s):
+        while parent[s] != s:
+            s = parent[s]
+        return s
+
+    for a, b in similar_pairs(distinct):
+        parent[find(distinct[a])] = find(distinct[b])
+    least = {}
+    for (i, _), s in zip(rows, sets, strict=True):
+        if i is not None:
+            least[find(s)] = min(i, least.get(find(s), i))
+    return [least.get(find(s)) for s in sets]

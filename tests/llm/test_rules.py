@@ -2,7 +2,11 @@
 
 import json
 import random
+import re
+import time
 from collections import Counter
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import corpus_pipeline
 import duckdb
@@ -146,6 +150,110 @@ def test_preferences_of_odd_rows(spark):
     assert preferences.preference_pairs(empty).count() == 0
 
 
+def test_swapped_replies_keep_every_turn(spark):
+    rows = [
+        (0, None, "user", "no number"), (0, 0, "user", "hi"), (0, 1, "assistant", "own"), (0, 2, "user", "thanks"), (0, 3, None, "bye"),
+        (1, 0, "assistant", "other"), (2, 5, "user", "only"), (3, None, "assistant", "unnumbered"), (3, 1, "user", "u"), (None, 1, "assistant", "x"), (None, 2, "user", "y"),
+    ]
+    turns = preferences.swapped_replies(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    assert turns.count() == 2 * len(rows)
+    got = {r.pair_id: r for r in preferences.preference_pairs(turns).collect()}
+    one = got[0]
+    assert one.prompt == "<|user|>\nno number<|end|>\n<|user|>\nhi<|end|>\n" and one.n_prompt_turns == 2
+    assert one.chosen == "<|assistant|>\nown<|end|>\n<|user|>\nthanks<|end|>\n<|unknown|>\nbye<|end|>\n" and one.rejected == one.chosen.replace("\nown<", "\nother<")
+    assert [one.rejected[s.start : s.end] for s in one.rejected_spans] == ["other<|end|>\n"]  # what follows is masked
+    assert (got[1].chosen, got[1].rejected) == ("<|assistant|>\nother<|end|>\n", "<|assistant|>\nown<|end|>\n")
+    assert got[2].chosen == "" and got[3].prompt.count("<|end|>") == 2
+    assert got[None].prompt.count("<|end|>") == 2 and got[None].rejected == ""
+
+
+def test_registered_preferences_hold_every_turn(spark):
+    folder = "/root/testdata/sf0.01"
+    n = spark.read.parquet(f"{folder}/conversations.parquet").count()
+    rows = queries.op5_preferences(spark, folder).collect()
+    assert sum((r.prompt + r.chosen).count(preferences.CLOSE) for r in rows) == n == sum((r.prompt + r.rejected).count(preferences.CLOSE) for r in rows)
+
+
+class Reader(HTMLParser):
+    """What the derived records hold, read by the standard library's parser."""
+
+    BLOCK = set(
+        "address article aside blockquote body br dd div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
+    )
+    SILENT = {"script", "style", "noscript", "template", "svg"}
+
+    def __init__(self, page, base):
+        super().__init__(convert_charrefs=True)
+        self.base, self.inside, self.out, self.links, self.metas, self.title, self.lang = base, [], [], [], [], None, None
+        self.feed(page)
+        self.close()
+        lines = (" ".join(re.sub(r"[^\S\n]+", " ", x).split(" ")).strip() for x in "".join(self.out).split("\n"))
+        self.text = "\n".join(x for x in lines if x)
+
+    def handle_starttag(self, tag, pairs):
+        own = {}
+        for k, v in pairs:
+            own.setdefault(k, v)
+        if tag == "html":
+            self.lang = (own.get("lang") or "").lower() or None
+        if tag == "meta":
+            self.metas.append({k: v for k, v in own.items() if k in ("name", "property", "charset", "content", "http-equiv")})
+        kind = {"a": "href", "area": "href", "link": "href", "img": "src", "iframe": "src", "script": "src"}.get(tag)
+        if kind and own.get(kind):
+            self.links.append({"path": f"{tag}@{kind}", "url": urljoin(self.base, own[kind])})
+        if tag in self.SILENT or tag in ("head", "title"):
+            self.inside.append(tag)
+        if tag in self.BLOCK:
+            self.out.append("\n")
+
+    def handle_endtag(self, tag):
+        if tag in self.inside:
+            self.inside.remove(tag)
+        if tag in self.BLOCK:
+            self.out.append("\n")
+
+    def handle_data(self, data):
+        if self.inside[-1:] == ["title"]:
+            self.title = " ".join(((self.title or "") + data).split())
+        elif not self.inside:
+            self.out.append(data.replace("\n", " "))
+
+
+def test_blocks_are_what_another_parser_reads(spark):
+    folder = "/root/testdata/sf0.01"
+    pages = {(r.page_id): r for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    for r in queries.op8_warc_derivatives(spark, folder).collect():
+        seen = Reader(pages[r.page_id].html, pages[r.page_id].url)
+        if r.warc_type == "conversion":
+            assert r.block == seen.text
+        else:
+            assert json.loads(r.block)["html"] == {"title": seen.title, "lang": seen.lang, "metas": seen.metas, "links": seen.links}
+
+
+@pytest.mark.parametrize("part", ["<a ", "<html ", "<title>", "<title ", "<br ", "<!--", "<script>", "</script ", "<meta x=", "a='<", "lang", "<a x", "&#", "<a " + "b" * 200])
+def test_time_follows_the_page(part):
+    """Markup that never ends: 3 MB take time in proportion, with and without a tag's end after it."""
+    for page in (part * (3_000_000 // len(part)), "<p>x</p><a " + part * (3_000_000 // len(part)) + ">"):
+        begun = time.process_time()
+        warc_derivatives.page_facts(page, "http://h/")
+        warc_derivatives.plain_text(page)
+        assert time.process_time() - begun < 20
+
+
+def test_unclosed_markup_reads_as_before():
+    assert warc_derivatives.plain_text("<p>a</p> b < c <d e") == "a\nb < c <d e"
+    facts = warc_derivatives.page_facts("<html class=x lang=en><title>never closed<a href=/x>l</a><a href=/y", "http://h/")
+    assert facts == {"title": None, "lang": "en", "metas": [], "links": [{"path": "a@href", "url": "http://h/x"}]}
+
+
+def test_records_without_an_id_differ(spark):
+    rows = [(None, "http://a/", "D", None, "<p>x</p>"), (None, "http://b/", "D", None, "<p>x</p>"), (None, "http://b/", "D", None, "<p>y</p>"), (None, "http://b/", "E", None, "<p>y</p>"), (None, None, None, None, None)]
+    got = warc_derivatives.derivatives(spark.createDataFrame(rows, "record_id string, target_uri string, warc_date string, http_head string, payload string")).collect()
+    assert len({r.record_id for r in got}) == 10
+    one = next(r for r in got if r.target_uri == "http://a/")
+    assert f"WARC-Refers-To-Target-URI: http://a/\r\nWARC-Refers-To-Date: D\r\n" in one.header and f"WARC-Payload-Digest: {one.source_digest}\r\n" in one.header
+
+
 def test_registered_derivatives(spark):
     pages = {r.url: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     sources = warc_derivatives.responses_of(spark.read.parquet(f"{SMALL}/pages.parquet"), queries.CAPTURED).collect()
@@ -183,8 +291,7 @@ def plain_pipeline(spark, folder):
     kept = {r.doc_id for r in quality_votes.judged(docs).where("kept").collect()}
     rows = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in kept]
     assert all(not base_counts(t)[5] for _, t in rows)
-    first = {i for i, _, least in brute.classes(rows) if i == least}
-    rows = [(i, t) for i, t in rows if i in first]
+    rows = [r for r, least in zip(rows, brute.similar_classes(rows), strict=True) if r[0] == least]
     rows = [(i, b" ".join(k).decode()) for i, _, k in brute.repeats(rows)]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     clean = {i for i, _, hit, _ in brute.leaks(rows, items) if not hit}
@@ -212,7 +319,36 @@ def test_pipeline_of_empty_tables(spark):
 
 
 def test_pipeline_of_odd_rows(spark):
-    kept = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t, *_ in odd_rows()], "doc_id long, text string, lang string, source string, n_chars long")
+    """Each stage against a plain version of it, with columns named like those that stages add."""
+    clash = "quality kept n_words n_hit n_removed row own".split()
+    rows = [(i, t, "en", len(t or ""), *[f"{c}{k}" for c in clash]) for k, (i, t, *_) in enumerate(odd_rows())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, " + ", ".join(f"{c} string" for c in clash))
+    stages = dict(corpus_pipeline.STAGES)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+
+    def collected(frame):
+        assert frame.columns == docs.columns
+        return sorted(map(tuple, frame.collect()), key=str)
+
+    judged = {r.own: r.kept for r in quality_votes.judged(docs.select("text", "own")).collect()}
+    kept = stages["quality_votes"](spark, docs, SMALL)
+    assert collected(kept) == sorted((r for r in rows if judged[r[-1]]), key=str) and all(not base_counts(r[1])[5] for r in rows if judged[r[-1]])
+    least = brute.similar_classes([r[:2] for r in rows])
+    distinct = collected(stages["near_copies"](spark, docs, SMALL))
+    nameless = [r for r in rows if r[0] is None]
+    assert [r for r in distinct if r[0] is None] == sorted(nameless, key=str)
+    assert sorted({r[0] for r in distinct} - {None}) == sorted(r[0] for r in distinct if r[0] is not None) == sorted({x for x in least if x is not None})
+    assert all(r in rows for r in distinct)
+    cut = brute.repeats([r[:2] for r in rows])
+    got = {r[-1]: r for r in collected(stages["substring_dedup"](spark, docs, SMALL))}
+    for r, (_, _, left) in zip(rows, cut, strict=True):
+        new = got[r[-1]]
+        assert brute.words(new[1]) == left and new[3] == (None if new[1] is None else len(new[1])) and new[4:] == r[4:]
+    clean = [hit == 0 for _, _, hit, _ in brute.leaks([r[:2] for r in rows], items)]
+    assert collected(stages["decontamination"](spark, docs, SMALL)) == sorted((r for r, ok in zip(rows, clean, strict=True) if ok), key=str)
+    pieces = stages["curve_packing"](spark, docs, SMALL)
+    assert pieces.where("start = 0").count() == len(rows)
+    chained = docs
     for _, stage in corpus_pipeline.STAGES:
-        kept = stage(spark, kept, SMALL)
-    assert kept.count() > 0
+        chained = stage(spark, chained, SMALL)
+    assert chained.select("doc_id").distinct().count() > 0
