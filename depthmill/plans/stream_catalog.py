@@ -90,20 +90,20 @@ def gate_input(source: DataFrame) -> DataFrame:
 
 def stream_gate(spark: SparkSession, folder: str) -> DataFrame:
     """What the gate says of every diff and snapshot."""
-    statuses = _stored(gate.gate_stream(gate_input(event_stream(spark, folder))), "stream-gate")
+    statuses = gate.run_once(gate_input(event_stream(spark, folder)), work_dir(spark, "stream-gate"))
     return statuses.select("symbol", "kind", "first_update_id", "last_update_id", "status")
 
 
 def stream_gate_one_symbol(spark: SparkSession, folder: str) -> DataFrame:
     """The same with all events under one symbol."""
     rows = gate_input(event_stream(spark, folder)).withColumn("symbol", F.lit("ALL"))
-    statuses = _stored(gate.gate_stream(rows), "stream-gate-one")
+    statuses = gate.run_once(rows, work_dir(spark, "stream-gate-one"))
     return statuses.select("symbol", "kind", "first_update_id", "last_update_id", "status")
 
 
 def stream_book(spark: SparkSession, folder: str) -> DataFrame:
     """The newest book of every symbol, reduced from what the gate applied."""
-    statuses = _stored(gate.gate_stream(gate_input(event_stream(spark, folder))), "stream-book")
+    statuses = gate.run_once(gate_input(event_stream(spark, folder)), work_dir(spark, "stream-book"))
     return gate.current_book(statuses).drop("epoch")
 
 

@@ -36,6 +36,12 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system of the session."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """Keyed streaming state goes to RocksDB, so it may exceed executor memory."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

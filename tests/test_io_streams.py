@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -154,7 +155,7 @@ def test_gold_stream_runs_end_to_end(spark, folder):
     assert bars.count() > 10 and {r.update_count for r in bars.collect()} == {3}
 
 
-GATE_IN = "symbol string, kind string, first_update_id long, last_update_id long, levels string"
+GATE_IN = "symbol string, kind string, first_update_id long, last_update_id long, levels string, arrived timestamp"
 
 
 def levels(bids, asks):
@@ -163,14 +164,17 @@ def levels(bids, asks):
     return json.dumps({"raw_bids": bids, "raw_asks": asks})
 
 
-def run_gate(spark, folder, batches, max_held):
+def run_gate(spark, folder, batches, max_held, hold=gate.HOLD_SECONDS):
+    """Batches one after another, a second apart; the queries restart for each, or take a file at a time of many."""
     schema = spark.createDataFrame([], GATE_IN).schema
-    for batch in batches:
-        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(folder + "/in")
-        stream = spark.readStream.schema(schema).parquet(folder + "/in")
-        writer = gate.gate_stream(stream, max_held).writeStream.format("parquet").option("checkpointLocation", folder + "/cp")
-        finish(writer.trigger(availableNow=True).start(folder + "/out"))
-    return spark.read.parquet(folder + "/out")
+    known = len(spark.read.parquet(folder + "/in").select("arrived").distinct().collect()) if os.path.exists(folder + "/in") else 0
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder + "/in")
+    for i, batch in enumerate(batches):
+        rows = [(*row, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=known + i)) for row in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder + "/in")
+        if len(batches) <= 5:
+            out = gate.run_once(stream(), folder + "/gate", max_held, hold)
+    return out if len(batches) <= 5 else gate.run_once(stream(), folder + "/gate", max_held, hold)
 
 
 def book_of(df):
@@ -235,15 +239,47 @@ def test_gate_reorders_early_diffs(spark, folder, seed):
     assert book_of(gate.current_book(out)) == replay_book(replay)
 
 
-@pytest.mark.parametrize("parts", [1, 3])
+@pytest.mark.parametrize("parts", [1, 3, 30])
 def test_gate_does_not_depend_on_the_size_of_a_batch(spark, folder, parts):
-    count = 12_000
+    count = 30_000
     diffs = [("S", "diff", i + 1, i + 1, levels([], [])) for i in range(count)]
     random.Random(parts).shuffle(diffs)
     step = count // parts
     batches = [[as_snapshot(0)] + diffs[:step], *(diffs[k : k + step] for k in range(step, count, step))]
     out = run_gate(spark, folder, batches, max_held=count)
-    assert out.where("status = 'applied' AND kind = 'diff'").count() == count
+    final = out.where("kind = 'diff' AND status <> 'buffered'").groupBy("status").agg(F.count("*").alias("n"), F.countDistinct("first_update_id").alias("ids")).collect()
+    assert [tuple(r) for r in final] == [("applied", count, count)]
+    seen = spark.read.schema(gate.RUNS).parquet(folder + "/gate/runs").where("kind = 'run'").count()
+    if parts == 1:
+        assert seen <= count // gate.SLICE_IDS + 1  # one row for each run, not for each diff
+
+
+def test_gate_gives_up_what_waits_too_long(spark, folder):
+    none = levels([], [])
+    early = [[as_snapshot(0)] + [("S", "diff", i, i, none) for i in (1, 2, 5, 6, 9)]]
+    out = run_gate(spark, folder, [*early, [("T", "diff", 1, 1, none)], [("T", "diff", 2, 2, none)], [("T", "diff", 3, 3, none)]], max_held=10, hold=2)
+    assert sorted((r.symbol, r.first_update_id) for r in out.where("status = 'expired'").collect()) == [("S", 5), ("S", 6), ("S", 9)]
+    out = run_gate(spark, folder, [[("S", "diff", 3, 4, none), ("S", "diff", 5, 5, none)]], max_held=10, hold=2)
+    assert sorted(r.first_update_id for r in out.where("status = 'applied' AND symbol = 'S' AND kind = 'diff'").collect()) == [1, 2, 3, 5]
+
+
+def test_gate_runs_that_overlap(spark, folder):
+    """Repeats across batches, a run whose turn comes in its middle, and a diff that straddles the cursor."""
+    diff = lambda a, b: ("S", "diff", a, b, levels([], []))
+    batches = [
+        [as_snapshot(0), diff(1, 2), diff(3, 4)],
+        [diff(7, 8), diff(9, 10), diff(11, 12)],  # early
+        [diff(9, 10), diff(11, 12), diff(13, 14)],  # overlaps what waits
+        [diff(5, 6)],
+        [diff(3, 4), diff(5, 6), diff(15, 16)],  # mostly old
+        [diff(16, 18), diff(19, 20)],  # straddles 16
+        [as_snapshot(18)],
+    ]
+    out = run_gate(spark, folder, batches, max_held=100).where("kind = 'diff'")
+    by = lambda status: sorted((r.first_update_id, r.last_update_id) for r in out.where(F.col("status") == status).collect())
+    assert by("applied") == [(i, i + 1) for i in range(1, 17, 2)] + [(19, 20)]
+    assert by("resync") == [(16, 18)] and (16, 18) in by("stale") and by("superseded") == []
+    assert [x for x in by("stale") if x[0] < 15] == [(3, 4), (5, 6), (9, 10), (11, 12)]
 
 
 def test_gate_keeps_the_longer_of_two_diffs_and_announces_every_gap(spark, folder):
