@@ -4,7 +4,6 @@
 DEFAULT_SYMBOL = "BTCUSDT"
 PREDICTION_TARGET = "price_direction_5min"
 MODEL_VERSION = "v1"
-ALERT_TEXT = "ALERT: {component} has failed {count} consecutive checks"
 DELETED_QTY = "0.00000000"
 FEATURE_COLS = [
     "vwap",

@@ -46,3 +46,8 @@ def as_quantity(value: Column) -> Column:
 
 def as_time_ms(moment: Column) -> Column:
     return F.concat(F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" UTC"))
+
+
+def alert_text(component: str, checks: int | str) -> str:
+    """What a stall alert says."""
+    return f"{component} is silent: nothing new in {checks} checks"

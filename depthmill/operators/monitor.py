@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depthmill.constants import ALERT_TEXT, CONFIDENCE_BOUNDS, DRIFT_LAST, DRIFT_SHARE, FAILURE_THRESHOLD
+from depthmill.constants import CONFIDENCE_BOUNDS, DRIFT_LAST, DRIFT_SHARE, FAILURE_THRESHOLD
 from depthmill.functions import scoring as S
 from depthmill.operators.bars import bucket, width_seconds
 from depthmill.operators.ordered import sliced_window, with_neighbours, without_neighbours
@@ -142,10 +142,14 @@ def stall_runs(
 def stall_alerts(
     runs: DataFrame, width: str = "1 minute", threshold: int = FAILURE_THRESHOLD, component: str = "kafka"
 ) -> DataFrame:
-    """One alert per failed check from the threshold on, as the checks would have raised them."""
+    """One alert per failed check from the threshold on, as the checks would have raised them.
+
+    Rows follow the silence: a symbol that is silent for a year gives half a million alerts by the minute. Bound `now` in `stall_runs`
+    by the last check that was made.
+    """
     each = runs.withColumn("_n", F.explode(F.sequence(F.lit(threshold).cast("long"), F.col("consecutive_failures"))))
     seconds = F.lit(width_seconds(width))
-    text = F.format_string(ALERT_TEXT.format(component=component, count="%d"), F.col("_n"))
+    text = F.format_string(S.alert_text(component.replace("%", "%%"), "%d"), F.col("_n"))
     return each.select(
         F.timestamp_seconds(F.unix_seconds("stall_start") + F.col("_n") * seconds).alias("ts"),
         "symbol",

@@ -107,6 +107,22 @@ def running_totals(
     return summed.where(~F.col(COPY)).select(*df.columns, *sums)
 
 
+def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, name: str, value: Column) -> DataFrame:
+    """Add `name`: the newest `value` that is not NULL among a key's rows up to each row, in `order`.
+
+    `slice_by` must rise with `order`. Two levels, as in `running_totals`: the newest value of each slice opens the next ones.
+    """
+    keys, order = list(keys), list(order)
+    sliced = df.withColumn(SLICE, slice_by).withColumn(name, value)
+    newest = sliced.groupBy(*keys, SLICE).agg(F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(*order))).alias(name))
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    opening = newest.select(*keys, SLICE, F.last(name, ignorenulls=True).over(earlier).alias(name), F.lit(True).alias(COPY))
+    rows = sliced.withColumn(COPY, F.lit(False)).unionByName(opening, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, SLICE).orderBy(F.desc(COPY), *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = rows.withColumn(name, F.last(name, ignorenulls=True).over(inside))
+    return known.where(~F.col(COPY)).select(*df.columns, name)
+
+
 def with_quantile_slice(df: DataFrame, value: str, fan: int = 8, by: Sequence[str] = ()) -> DataFrame:
     """Add `_band`: the number of the value's quantile band out of `fan` * `fan`, rising with the value.
 

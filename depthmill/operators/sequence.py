@@ -4,12 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depthmill.operators.book import book_state
-from depthmill.operators.ordered import running_totals, sliced_window, with_neighbours, without_neighbours
+from depthmill.operators.ordered import running_last, running_totals, sliced_window, with_neighbours, without_neighbours
 
 # Ids per slice of a symbol's sequence: bounds a task, and the carried borders stay one row per slice.
 SLICE_IDS = 1 << 18
-# Ids per hash bucket of the range join; wider than nearly every message's span.
-ANCHOR_IDS = 1 << 12
 
 
 def by_id(width: int = SLICE_IDS) -> Column:
@@ -52,22 +50,23 @@ def epochs(messages: DataFrame, slice_ids: int = SLICE_IDS) -> DataFrame:
     return running_totals(checked, ["symbol"], order, by_id(slice_ids), {"epoch": broken})
 
 
-def snapshot_anchors(messages: DataFrame, snapshots: DataFrame, bucket_ids: int = ANCHOR_IDS) -> DataFrame:
+def snapshot_anchors(messages: DataFrame, snapshots: DataFrame, slice_ids: int = SLICE_IDS) -> DataFrame:
     """Pair each snapshot with the message whose id range holds the snapshot's next id.
 
-    A range join as an equi-join: the message is listed under every id bucket its range touches, the
-    snapshot under the one bucket of its next id, so both sides hash by (symbol, bucket) at any size.
+    An as-of join: both sides are put in one order by id, and each snapshot takes the newest message before it, if that
+    one's range holds the id. Of messages that start at one id the longest counts; a message inside another's range hides it, so one
+    with a wrong first id can't take what others hold. Nothing is listed per id, whatever a message spans.
     """
-    width = F.lit(bucket_ids)
-    first, last = F.col("first_update_id"), F.col("last_update_id")
-    listed = messages.withColumn("_bucket", F.explode(F.sequence(F.floor(first / width), F.floor(last / width))))
-    next_id = F.col("snapshot_id") + 1
-    wanted = snapshots.select("symbol", F.col("snapshot_id"), F.floor(next_id / width).alias("_bucket"))
-    return (
-        listed.join(wanted, ["symbol", "_bucket"])
-        .where((first <= next_id) & (next_id <= last))
-        .drop("_bucket")
-    )
+    message = F.struct(*messages.columns)
+    first, none = F.col("first_update_id"), F.lit(None)
+    here = messages.select("symbol", first.alias("_at"), F.lit(0).alias("_kind"), F.col("last_update_id").alias("_until"), none.cast("long").alias("snapshot_id"), message.alias("_message"))
+    next_id = (F.col("snapshot_id") + 1).alias("_at")
+    wanted = snapshots.select("symbol", next_id, F.lit(1).alias("_kind"), none.cast("long").alias("_until"), F.col("snapshot_id").cast("long").alias("snapshot_id"))
+    both = here.unionByName(wanted, allowMissingColumns=True)
+    slices = F.floor(F.col("_at") / F.lit(slice_ids))
+    paired = running_last(both, ["symbol"], ["_at", "_kind", "_until"], slices, "_found", F.col("_message"))
+    held = paired.where((F.col("_kind") == 1) & (F.col("_at") <= F.col("_found.last_update_id")))
+    return held.select(*[F.col("_found")[c].alias(c) for c in messages.columns], "snapshot_id")
 
 
 def synchronise(messages: DataFrame, snapshots: DataFrame, slice_ids: int = SLICE_IDS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import SparkRuntimeException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from depthmill.plans import adapters as A
 from depthmill.plans import catalog, lakehouse, training
 from depthmill.plans.stream_catalog import event_stream
 from depthmill.session import work_dir, written
-from depthmill.sources import readers, writers
+from depthmill.sources import readers, versions, writers
 from depthmill.streaming import jobs
 
 #: One tree of depth 1 over separable classes: leaves of -1 and 1.
@@ -277,6 +278,22 @@ def stored_checks(spark: SparkSession, folder: str) -> DataFrame:
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+def refresh_while_read(spark: SparkSession, folder: str) -> DataFrame:
+    """A reader that opened a table before it is rebuilt twice, once in vain, and one that opens it after."""
+    path, ticks = work_dir(spark, "versions"), catalog.metrics(A.events(spark, folder))
+    versions.publish(B.depth_bars(ticks, "60 minutes"), path)
+    early = versions.read(spark, path)
+    lost = B.depth_bars(ticks, "1 day").withColumn("symbol", F.raise_error(F.lit("lost")).cast("string"))
+    try:
+        versions.publish(lost, path)
+        raise AssertionError("this build can't end")
+    except SparkException:
+        pass
+    versions.publish(B.depth_bars(ticks, "1 day"), path)
+    late = versions.read(spark, path)
+    return catalog.comparable(early.withColumn("version", F.lit(1)).unionByName(late.withColumn("version", F.lit(2))))
+
+
 def wide_daily_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars over ids that fill a long."""
     ticks = catalog.metrics(A.events(spark, folder)).withColumn("last_update_id", F.col("last_update_id") + F.lit(1 << 40))
@@ -298,6 +315,6 @@ def job_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         scoring_roundtrip, scoring_audit, scoring_stream, model_metadata, run_log, acceptance_gate, score_invariants,
         depth_tables_roundtrip, minute_tables_roundtrip, refresh_days_roundtrip, pruned_days, fan_out_roundtrip,
         bounded_batches_roundtrip, restart_roundtrip, view_roundtrip, message_files_roundtrip, book_per_epoch,
-        spot_check_from_documents, display_texts, ladder_texts, stored_checks, wide_daily_bars, bad_messages,
+        spot_check_from_documents, display_texts, ladder_texts, stored_checks, wide_daily_bars, refresh_while_read, bad_messages,
     )
     return {f.__name__: f for f in own}

@@ -130,6 +130,9 @@ def job_oracle() -> dict[str, str]:
             body="""SELECT symbol, side, format('{:.2f}', CAST(price AS DOUBLE)) AS price_text, format('{:.8f}', CAST(qty AS DOUBLE)) AS qty_text FROM book""",
         ),
         "stored_checks": _stored_checks(),
+        "refresh_while_read": query(
+            "hourly", "metrics", body=f"SELECT 1 AS version, {O.BAR_COLS} FROM hourly UNION ALL SELECT 2, {O.BAR_COLS} FROM ({O.depth_bars('metrics', '1 day')})"
+        ),
         "wide_daily_bars": query("metrics", body=f"SELECT {O.BAR_COLS} FROM ({O.depth_bars('metrics', '1 day')})"),
         "bad_messages": _once(
             "message_levels",

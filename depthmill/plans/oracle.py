@@ -666,7 +666,7 @@ def batch_oracle() -> dict[str, str]:
         "stall_alerts": query(
             "stalls",
             body="""SELECT stall_start + to_minutes(n) AS ts, symbol, 'kafka' AS component, n AS consecutive_failures,
-            'ALERT: kafka has failed ' || n || ' consecutive checks' AS message
+            'kafka is silent: nothing new in ' || n || ' checks' AS message
             FROM (SELECT *, unnest(range(3, consecutive_failures + 1)) AS n FROM stalls)""",
         ),
         "quality_report": query("bronze", "raw_metrics", "metrics", "hourly", "log", body=_quality()),
@@ -727,6 +727,13 @@ def stream_oracle() -> dict[str, str]:
             "metrics",
             body=f"SELECT {BAR_COLS} FROM hourly WHERE window_end <= (SELECT max(event_ts) FROM metrics) - INTERVAL 2 MINUTE",
         ),
+        "stream_bars_open": query("hourly", body=f"SELECT {BAR_COLS} FROM hourly"),
+        "wide_stream_bars": query("metrics", body=f"SELECT {BAR_COLS} FROM ({depth_bars('metrics', '1 day')})"),
+        "stall_stream": """WITH heard AS (SELECT DISTINCT event_type AS symbol, date_trunc('second', ts) AS arrived FROM events),
+            gaps AS (SELECT *, coalesce(lead(arrived) OVER (PARTITION BY symbol ORDER BY arrived), max(arrived) OVER ()) AS until FROM heard),
+            checks AS (SELECT *, unnest(range(3, CAST(ceil(epoch(until - arrived) / 60) AS BIGINT))) AS n FROM gaps)
+            SELECT arrived + to_minutes(n) AS ts, symbol, 'kafka' AS component, n AS consecutive_failures,
+                'kafka is silent: nothing new in ' || n || ' checks' AS message FROM checks""",
         "stream_dedup": query("retried", body="SELECT DISTINCT event_type AS symbol, event_id AS last_update_id FROM retried"),
         "stream_bronze_roundtrip": query("bronze", body=f"SELECT {BRONZE_TEXT} FROM bronze"),
         "stream_gate": query(

@@ -12,7 +12,7 @@ from depthmill.plans import adapters as A
 from depthmill.plans import catalog, training
 from depthmill.session import prepare, work_dir
 from depthmill.sources.readers import lake_table
-from depthmill.streaming import gate, jobs
+from depthmill.streaming import gate, jobs, stalls
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 SNAPSHOT_EVERY = 50
@@ -41,6 +41,31 @@ def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
     return catalog.comparable(_stored(jobs.bars_stream(ticks, "60 minutes"), "stream-bars"))
 
 
+def _open_bars(bars: DataFrame, label: str) -> DataFrame:
+    root = work_dir(bars.sparkSession, label)
+    _finish(jobs.open_bars(bars, f"{root}/table", f"{root}/checkpoint", interval=None))
+    return catalog.comparable(jobs.newest_bars(bars.sparkSession, f"{root}/table", bars.schema))
+
+
+def stream_bars_open(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly bars with those that the watermark hasn't closed."""
+    ticks = A.quotes(event_stream(spark, folder)).transform(S.valid_quotes).transform(S.price_metrics)
+    return _open_bars(jobs.bars_stream(ticks, "60 minutes"), "stream-bars-open")
+
+
+def wide_stream_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars of a stream whose ids fill a long."""
+    ticks = A.quotes(event_stream(spark, folder)).transform(S.valid_quotes).transform(S.price_metrics)
+    wide = ticks.withColumn("last_update_id", F.col("last_update_id") + F.lit(1 << 40))
+    return _open_bars(jobs.bars_stream(wide, "1 day", wide_ids=True), "wide-stream-bars")
+
+
+def stall_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of a replay, with the events' own times as arrivals."""
+    ticks = event_stream(spark, folder).select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("arrived"))
+    return catalog.comparable(_stored(stalls.stalls_stream(ticks), "stall-stream"))
+
+
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     retried = A.retried(event_stream(spark, folder)).select(
         F.col("event_type").alias("symbol"), F.col("event_id").alias("last_update_id"), F.col("ts").alias("event_ts")
@@ -119,6 +144,9 @@ def score_model(spark: SparkSession, folder: str) -> DataFrame:
 def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_bars": stream_bars,
+        "stream_bars_open": stream_bars_open,
+        "wide_stream_bars": wide_stream_bars,
+        "stall_stream": stall_stream,
         "stream_dedup": stream_dedup,
         "stream_bronze_roundtrip": stream_bronze_roundtrip,
         "stream_gate": stream_gate,

@@ -133,7 +133,7 @@ class SequenceGate(StatefulProcessor):
         self._load()
         runs, snapshots = [], {}
         for row in rows:
-            arrived = int(row.arrived.timestamp() * 1000)
+            arrived = row.arrived_ms
             if row.kind == "snapshot":
                 snapshots[row.first_update_id] = arrived
             else:
@@ -332,7 +332,7 @@ def decide(spark: SparkSession, folder: str, max_held: int = 0, hold_seconds: fl
     The watermark lies `hold_seconds` behind the newest arrival: what waits longer is given up, what arrives later is not looked at.
     """
     use_rocksdb(spark)
-    runs = spark.readStream.schema(RUNS).parquet(f"{folder}/runs").withWatermark("arrived", f"{hold_seconds} seconds")
+    runs = spark.readStream.schema(RUNS).parquet(f"{folder}/runs").withWatermark("arrived", f"{hold_seconds} seconds").withColumn("arrived_ms", F.unix_millis("arrived"))
     found = runs.groupBy("symbol").transformWithState(statefulProcessor=SequenceGate(max_held), outputStructType=DECISIONS, outputMode="Append", timeMode="EventTime")
     writer = found.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoints/decide")
     return with_trigger(writer, interval).start(f"{folder}/decisions")

@@ -181,6 +181,18 @@ def test_anchors_equal_brute_force(spark):
         assert sorted((r.first_update_id, r.snapshot_id) for r in got.collect()) == expected
 
 
+def test_a_message_with_a_wrong_first_id_takes_no_anchor(spark):
+    """One that claims to start at 0 spans everything; nothing is listed per id, and the others keep what they hold."""
+    rows = [("A", i, i + 4) for i in range(1_000_000, 1_000_100, 5)] + [("A", 0, 2_000_000), ("B", 7, 9)]
+    messages = spark.createDataFrame(rows, "symbol string, first_update_id long, last_update_id long")
+    snapshots = spark.createDataFrame([("A", 1_000_011), ("A", 1_000_099), ("A", 5), ("A", 1_500_000), ("B", 6), ("B", 9), ("C", 1)], "symbol string, snapshot_id long")
+    for width in (7, N.SLICE_IDS):
+        got = N.snapshot_anchors(messages, snapshots, width)
+        found = sorted((r.symbol, r.first_update_id, r.snapshot_id) for r in got.collect())
+        assert found == [("A", 0, 5), ("A", 1_000_010, 1_000_011), ("B", 7, 6)]
+        assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_synchronise_equals_replay(spark):
     runs = gapped(random.Random(6))
     flat = [d for run in runs for d in run]

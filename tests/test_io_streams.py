@@ -12,6 +12,7 @@ from depthmill.plans import adapters as A
 from depthmill.plans import lakehouse
 from depthmill.schemas import ENVELOPE
 from depthmill.sources import readers as R
+from depthmill.sources import versions as V
 from depthmill.sources import writers as W
 from depthmill.streaming import gate, jobs, stalls
 from tests.replay import Replay, Resync, random_diffs
@@ -307,18 +308,66 @@ def test_gate_input_builders(spark):
     assert gate.applied_levels(as_gate).count() == 5
 
 
-def test_silence_raises_alerts(spark, folder):
-    ticks = spark.createDataFrame([("X", dt.datetime(2024, 1, 1), 1)], "symbol string, event_ts timestamp, last_update_id long")
-    ticks.write.parquet(folder + "/in")
-    stream = spark.readStream.schema(ticks.schema).parquet(folder + "/in")
-    alerts = stalls.stalls_stream(stream, interval_seconds=1, threshold=2)
-    query = (
-        alerts.writeStream.format("parquet").option("checkpointLocation", folder + "/cp")
-        .trigger(processingTime="1 second").start(folder + "/out")
-    )
-    try:
-        query.awaitTermination(25)
-    finally:
-        query.stop()
-    found = spark.read.schema(alerts.schema).parquet(folder + "/out").orderBy("consecutive_failures").collect()
-    assert [r.consecutive_failures for r in found[:2]] == [2, 3] and found[0].symbol == "X"
+def alerts_of(spark, folder, parts):
+    """Alerts of (symbol, second) arrivals, a part after another."""
+    kind = "symbol string, arrived timestamp"
+    for part in parts:
+        rows = [(s, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t)) for s, t in part]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(folder + "/in")
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(folder + "/in")
+    alerts = stalls.stalls_stream(stream.where("symbol <> 'beat'"), stream.where("symbol = 'beat'").withColumn("symbol", F.lit(None).cast("string")), interval_seconds=10, threshold=2)
+    finish(alerts.writeStream.format("parquet").option("checkpointLocation", folder + "/cp").trigger(availableNow=True).start(folder + "/out"))
+    found = spark.read.schema(alerts.schema).parquet(folder + "/out").collect()
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()
+    return sorted((r.symbol, int(r.ts.replace(tzinfo=dt.timezone.utc).timestamp() - start), r.consecutive_failures) for r in found)
+
+
+def test_silence_raises_the_same_alerts_in_any_batches(spark, tmp_path):
+    arrivals = sorted([("X", t) for t in (0, 1, 35, 36, 100)] + [("Y", t) for t in range(0, 100, 9)] + [("Z", 5)] + [("beat", 130)], key=lambda x: x[1])
+    want = [("X", 21, 2), ("X", 31, 3), ("X", 56, 2), ("X", 66, 3), ("X", 76, 4), ("X", 86, 5), ("X", 96, 6), ("X", 120, 2), ("Y", 119, 2), ("Y", 129, 3)]
+    want += [("Z", 5 + 10 * n, n) for n in range(2, 13)]
+    whole = alerts_of(spark, str(tmp_path / "one"), [arrivals])
+    assert whole == sorted(want)
+    assert alerts_of(spark, str(tmp_path / "many"), [arrivals[k : k + 7] for k in range(0, len(arrivals), 7)]) == whole
+
+
+def test_open_bars_take_the_newest_version(spark, folder):
+    source = A.events(spark, SMALL).withColumn("part", F.col("event_id") % 3)  # every part changes most bars
+    for i in range(3):
+        source.where(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(folder + "/in")
+    stored = spark.read.parquet(folder + "/in")
+    stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", "1").parquet(folder + "/in")
+
+    def metrics(df):
+        return A.quotes(df).transform(S.valid_quotes).transform(S.price_metrics)
+
+    bars = jobs.bars_stream(metrics(stream), "60 minutes", "60 days")
+    finish(jobs.open_bars(bars, folder + "/bars", folder + "/cp", interval=None))
+    exact = ["window_start", "window_end", "symbol", "update_count", "mid_price_open", "mid_price_close"]
+    newest = jobs.newest_bars(spark, folder + "/bars", bars.schema)
+    assert rows(newest, exact) == rows(B.depth_bars(metrics(stored), "60 minutes"), exact)
+    assert spark.read.parquet(folder + "/bars").count() > newest.count()
+    assert jobs.fold_versions(spark, folder + "/bars", bars.schema, folder + "/folded") == 1
+    assert rows(V.read(spark, folder + "/folded"), exact) == rows(newest, exact)
+
+
+def test_versions_outlive_rebuilds(spark, folder):
+    frame = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id int")
+    with pytest.raises(ValueError):
+        V.read(spark, folder + "/t")
+    assert V.publish(frame(1), folder + "/t") == 1
+    early = V.read(spark, folder + "/t")
+    with pytest.raises(Exception):
+        V.publish(frame(2).withColumn("id", F.raise_error(F.lit("lost")).cast("int")), folder + "/t")
+    assert V.publish(frame(3, 4), folder + "/t") == 2
+    open(folder + "/t/commits/00000000000000000009", "w").write("cut o")  # a commit that never ended
+    assert rows(early) == ["(1,)"] and rows(V.read(spark, folder + "/t")) == ["(3,)", "(4,)"] and rows(V.read(spark, folder + "/t", 1)) == ["(1,)"]
+    assert V.publish(frame(5), folder + "/t") == 3
+    assert V.expire(spark, folder + "/t", keep=2) == [1] and list(V.versions(spark, folder + "/t")) == [2, 3]
+    assert len(os.listdir(folder + "/t/data")) == 2 and rows(V.read(spark, folder + "/t")) == ["(5,)"]
+
+
+def test_a_number_that_is_taken_is_not_taken_again(spark, folder, monkeypatch):
+    V.publish(spark.range(1), folder + "/t")
+    monkeypatch.setattr(V, "versions", lambda spark, path: {})  # what a build sees that started at the same time
+    assert V.publish(spark.range(2), folder + "/t") == 2
