@@ -1,6 +1,8 @@
 """Classifier evaluation as relations: ROC points, AUC, best threshold, reports, column profiles."""
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,42 +158,114 @@ def positive_share(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+#: So few values of a bracket are looked at one by one.
+BRACKET = 4096
+#: Size of a quantile sketch, and how far about a rank its guess reaches, in shares of the rows.
+SKETCH, REACH = 2048, 1 / 128
 
 
-def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max per column.
+class Places(NamedTuple):
+    """Places in a column's order that lie between two of its values: `below` values come before, `inside` are from low to high."""
 
-    Quartiles interpolate between the two neighbouring order statistics. They are found by position in
-    running counts of the distinct values, so no task holds a whole column.
+    column: int
+    places: tuple[int, ...]
+    low: float
+    high: float
+    below: int
+    inside: int
+    guess: tuple[float, float, float] | None
+
+
+def _guess(value: Column, places: Column) -> Column:
+    sketch = F.kll_sketch_agg_double(value, SKETCH)
+    return F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, places))
+
+
+def _ranks(places: Sequence[int], below: int, inside: int) -> list[float]:
+    """Ranks before, at and behind the places."""
+    first, last = ((p - below + 0.5) / inside for p in (min(places), max(places)))
+    return [max(0.0, first - REACH), first, min(1.0, last + REACH)]
+
+
+def order_statistics(values: DataFrame, wanted: list[Places], bracket: int = BRACKET) -> dict[tuple[int, int], float]:
+    """The value at each wanted place, exactly, by narrowing: {(column, place): value}. Columns of `values` are `_0`, `_1`, ...
+
+    A pass counts the values before, inside and behind a guess that a mergeable sketch gave, and sketches the inside; the places
+    go on in the part they lie in, until it holds one value or at most `bracket` rows. Each pass is one scan and one aggregate
+    with partial rows of a fixed size; a bracket shrinks about sixtyfold in one, so their number grows with the
+    logarithm of the rows, and nothing is shuffled per value.
     """
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("_c")).select("_c.*")
-    long = long.where(F.col("value").isNotNull())
-    basic = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_rows"))
-    banded = with_quantile_slice(distinct, "value", by=["column"])
-    upto = running_totals(banded, ["column"], ["value"], F.col("_band"), {"_upto": F.col("_rows")}).drop("_band")
-    # One row per profiled column: as small as the list of names.
-    placed = upto.join(F.broadcast(basic.select("column", F.col("count").alias("_n"))), "column")
-
-    def value_at(position: Column) -> Column:
-        inside = (F.col("_upto") > position) & (F.col("_upto") - F.col("_rows") <= position)
-        return F.max(F.when(inside, F.col("value")))
-
-    found, quartiles = [], []
-    for name, share in QUARTILES.items():
-        place = (F.col("_n") - 1) * F.lit(share)
-        found += [
-            value_at(F.floor(place)).alias(f"_{name}_lo"),
-            value_at(F.ceil(place)).alias(f"_{name}_hi"),
-            F.max(place - F.floor(place)).alias(f"_{name}_w"),
-        ]
-        low, high, weight = (F.col(f"_{name}_{part}") for part in ("lo", "hi", "w"))
-        quartiles.append((low + (high - low) * weight).alias(name))
-    positions = placed.groupBy("column").agg(*found).select("column", *quartiles)
-    return basic.join(F.broadcast(positions), "column").select("column", "count", "mean", "std", "min", *QUARTILES, "max")
+    found: dict[tuple[int, int], float] = {}
+    todo = wanted
+    while todo:
+        asked = []
+        for k, t in enumerate(todo):
+            c = F.col(f"_{t.column}")
+            inside = F.when(c.between(t.low, t.high) & ~F.isnan(c), c)
+            if t.inside <= bracket:
+                asked.append(F.struct(F.array_sort(F.collect_list(inside)).alias("values")).alias(f"a{k}"))
+            elif t.guess is None:
+                asked.append(F.struct(_guess(inside, F.array(*map(F.lit, _ranks(t.places, t.below, t.inside)))).alias("guess")).alias(f"a{k}"))
+            else:
+                # Where a guess spans all that is there (few values with many rows each), the place's own value parts it.
+                low, high = (t.guess[0], t.guess[2]) if t.guess[0] > t.low or t.guess[2] < t.high else (t.guess[1], t.guess[1])
+                parts = [F.when(inside < low, inside), F.when(inside.between(low, high), inside), F.when(inside > high, inside)]
+                sums = [F.struct(F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")) for x in parts]
+                asked.append(F.struct(F.array(*sums).alias("parts"), _guess(parts[1], F.array(*[F.lit(r / 128) for r in range(129)])).alias("table")).alias(f"a{k}"))
+        row, now = values.agg(*asked).first(), todo
+        todo = []
+        for k, t in enumerate(now):
+            answer = row[f"a{k}"]
+            if t.inside <= bracket:
+                found.update({(t.column, p): answer["values"][p - t.below] for p in t.places})
+            elif t.guess is None:
+                todo.append(t._replace(guess=tuple(answer["guess"])))
+            else:
+                below = t.below
+                for which, part in enumerate(answer["parts"]):
+                    own = tuple(p for p in t.places if below <= p < below + part["n"])
+                    if own and part["low"] == part["high"]:
+                        found.update({(t.column, p): part["low"] for p in own})
+                    elif own:
+                        at = [round(128 * r) for r in _ranks(own, below, part["n"])]
+                        guess = tuple(answer["table"][min(128, max(0, x))] for x in at) if which == 1 else None
+                        todo.append(Places(t.column, own, part["low"], part["high"], below, part["n"], guess))
+                    below += part["n"]
+    return found
+
+
+def column_profile(df: DataFrame, columns: Sequence[str], bracket: int = BRACKET) -> DataFrame:
+    """count, mean, std, min, exact quartiles and max per column. NULLs don't count; NaN is above all numbers.
+
+    Quartiles interpolate between the two neighbouring order statistics. A column without values has no row.
+    """
+    values = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    summaries = []
+    for i in range(len(columns)):
+        c = F.col(f"_{i}")
+        number = F.when(~F.isnan(c), c)
+        n = F.count(number)
+        ends = [F.count(c).alias("count"), n.alias("numbers"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"), F.min(number).alias("low"), F.max(number).alias("high")]
+        guess = _guess(number, F.array(*[F.lit(x) for share in QUARTILES.values() for x in (share - REACH, share, share + REACH)]))
+        summaries.append(F.struct(*ends, guess.alias("guess")).alias(f"_{i}"))
+    basic = values.agg(*summaries).first()
+    places, wanted = {}, []
+    for i in range(len(columns)):
+        own = basic[f"_{i}"]
+        for k, (name, share) in enumerate(QUARTILES.items()):
+            place = (own["count"] - 1) * share
+            places[i, name] = place
+            numbers = tuple(p for p in {math.floor(place), math.ceil(place)} if 0 <= p < own["numbers"])
+            if numbers:
+                wanted.append(Places(i, numbers, own["low"], own["high"], 0, own["numbers"], tuple(own["guess"][3 * k : 3 * k + 3])))
+    found = order_statistics(values, wanted, bracket)
+    rows = []
+    for i, c in enumerate(columns):
+        own, quartiles = basic[f"_{i}"], []
+        for name in QUARTILES:
+            low, high = (found.get((i, p), math.nan) for p in (math.floor(places[i, name]), math.ceil(places[i, name])))
+            quartiles.append(low + (high - low) * (places[i, name] - math.floor(places[i, name])))
+        if own["count"]:
+            rows.append((c, own["count"], own["mean"], own["std"], own["min"], *quartiles, own["max"]))
+    kinds = ["column string", "count long", *[f"{n} double" for n in ("mean", "std", "min", *QUARTILES, "max")]]
+    return df.sparkSession.createDataFrame(rows, ", ".join(kinds))

@@ -18,8 +18,8 @@ from depthmill.operators import staging as S
 from depthmill.plans import adapters as A
 from depthmill.plans import catalog, lakehouse, training
 from depthmill.plans.stream_catalog import event_stream
-from depthmill.session import work_dir, written
-from depthmill.sources import readers, versions, writers
+from depthmill.session import path_exists, work_dir, written
+from depthmill.sources import readers, topic_files, versions, writers
 from depthmill.streaming import jobs
 
 #: One tree of depth 1 over separable classes: leaves of -1 and 1.
@@ -111,6 +111,18 @@ def score_invariants(spark: SparkSession, folder: str) -> DataFrame:
 # ---- stored tables -----------------------------------------------------------------------------------------
 
 
+def retrain_decisions(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of a drift check: of the whole log and of its upward answers, before a gate that lets all models pass and one that none does."""
+    bars, log = catalog.hourly(A.events(spark, folder)), A.prediction_log(A.events(spark, folder))
+    decisions = []
+    for name, answers in (("whole log", log), ("upward answers", log.where("prediction = 'up'"))):
+        for minimum in (0.0, 1.5):
+            root = work_dir(spark, "retrain")
+            decision = training.retrain_if_drifted(bars, answers, root, minimum_auc=minimum, **STUMP)
+            decisions.append((name, minimum, decision, path_exists(spark, f"{root}/current_model")))
+    return spark.createDataFrame(decisions, "log string, minimum_auc double, decision string, published boolean")
+
+
 def depth_tables_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze to stored silver to stored five-minute bars."""
     paths = lakehouse.build_depth_tables(catalog.bronze(A.events(spark, folder)), work_dir(spark, "depth-tables"))
@@ -175,6 +187,30 @@ def bounded_batches_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return out.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("offset").alias("offsets"), F.countDistinct("batch_id").alias("batches"))
 
 
+def offsets_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """An exported topic of three partitions: ranges by offset as a batch, and all of it as a stream of small batches that stops and goes on."""
+    root = work_dir(spark, "offsets")
+    spark.dataSource.register(topic_files.TopicFiles)
+    spread = {"partition": (F.col("offset") % 3).cast("int"), "offset": F.floor(F.col("offset") / 3)}
+    topic_files.export(A.envelopes(A.events(spark, folder)).withColumns(spread), f"{root}/topic", segment=1000)
+    asked = {"startingOffsets": '{"0": 100, "1": -2, "2": -1}', "endingOffsets": '{"0": 1200, "1": 30, "2": -1}'}
+    ranged = spark.read.format("topic_files").options(path=f"{root}/topic", offsetsPerTask="300", **asked).load()
+    bounded = {"path": f"{root}/topic", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "25000", "progress": f"{root}/progress"}
+    for limited in (True, False):
+        stream = spark.readStream.format("topic_files").options(**bounded).load()
+        query = writers.batch_sink(P.envelope_text(stream), writers.append_once(f"{root}/out"), f"{root}/checkpoint", interval="0 seconds")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        if limited:  # what comes while nothing listens
+            late = A.envelopes(A.events(spark, folder)).where("offset < 10").withColumns({"partition": F.lit(3), "offset": F.col("offset")})
+            topic_files.export(late, f"{root}/topic", segment=1000)
+    streamed = spark.read.parquet(f"{root}/out").drop("batch_id")
+    both = P.envelope_text(ranged).withColumn("read", F.lit("range")).unionByName(streamed.withColumn("read", F.lit("stream")))
+    return catalog.comparable(both)
+
+
 def restart_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """An ingest that is stopped and started again: later files are added, no row comes twice."""
     root = work_dir(spark, "restart")
@@ -312,9 +348,9 @@ def bad_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def job_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        scoring_roundtrip, scoring_audit, scoring_stream, model_metadata, run_log, acceptance_gate, score_invariants,
+        scoring_roundtrip, scoring_audit, scoring_stream, model_metadata, run_log, acceptance_gate, retrain_decisions, score_invariants,
         depth_tables_roundtrip, minute_tables_roundtrip, refresh_days_roundtrip, pruned_days, fan_out_roundtrip,
-        bounded_batches_roundtrip, restart_roundtrip, view_roundtrip, message_files_roundtrip, book_per_epoch,
+        bounded_batches_roundtrip, offsets_roundtrip, restart_roundtrip, view_roundtrip, message_files_roundtrip, book_per_epoch,
         spot_check_from_documents, display_texts, ladder_texts, stored_checks, wide_daily_bars, refresh_while_read, bad_messages,
     )
     return {f.__name__: f for f in own}

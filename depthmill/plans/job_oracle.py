@@ -105,6 +105,19 @@ def job_oracle() -> dict[str, str]:
         ),
         "fan_out_roundtrip": query("quotes", body="SELECT symbol, count(DISTINCT last_update_id) AS ids, count(*) AS rows FROM quotes GROUP BY symbol"),
         "bounded_batches_roundtrip": "SELECT count(*) AS rows, count(DISTINCT event_id) AS offsets, 4::BIGINT AS batches FROM events",
+        "retrain_decisions": query(
+            "log",
+            body=f"""SELECT log, minimum_auc, decision, decision = 'retrained' AS published FROM (
+            SELECT log, minimum_auc, CASE WHEN status <> 'drift_detected' THEN 'skipped' WHEN minimum_auc > 1 THEN 'rejected' ELSE 'retrained' END AS decision
+            FROM (SELECT 'whole log' AS log, status FROM ({O._drift("")})
+                  UNION ALL SELECT 'upward answers', status FROM ({O._drift("").replace("FROM log", "FROM (SELECT * FROM log WHERE prediction = 'up')")})),
+                 (VALUES (0.0::DOUBLE), (1.5::DOUBLE)) AS gates(minimum_auc))""",
+        ),
+        "offsets_roundtrip": f"""WITH sent AS ({base['envelope_projection']})
+            SELECT raw_json, topic, CAST("offset" % 3 AS INTEGER) AS partition, "offset" // 3 AS "offset", kafka_timestamp, 'stream' AS read FROM sent
+            UNION ALL SELECT raw_json, topic, 3, "offset", kafka_timestamp, 'stream' FROM sent WHERE "offset" < 10
+            UNION ALL SELECT raw_json, topic, CAST("offset" % 3 AS INTEGER), "offset" // 3, kafka_timestamp, 'range' FROM sent
+              WHERE "offset" % 3 = 0 AND "offset" // 3 BETWEEN 100 AND 1199 OR "offset" % 3 = 1 AND "offset" // 3 < 30""",
         "restart_roundtrip": _once("bronze", body="SELECT symbol, first_update_id, last_update_id, event_time FROM bronze"),
         "view_roundtrip": query("hourly", body="SELECT symbol, count(*) AS bars, CAST(sum(update_count) AS BIGINT) AS updates FROM hourly GROUP BY symbol"),
         "message_files_roundtrip": base["parse_messages"],

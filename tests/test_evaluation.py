@@ -77,6 +77,26 @@ def test_reports(spark):
     assert E.positive_share(df).first().positive_share == pytest.approx(label.mean())
 
 
+@pytest.mark.parametrize("bracket", [1, 7])
+def test_quartiles_by_narrowing(spark, bracket):
+    """Brackets that take several passes, values that hold most rows, and neighbours that part."""
+    rng = np.random.default_rng(5)
+    n = 20_002
+    columns = {
+        "smooth": rng.normal(size=n), "few": rng.integers(0, 3, n).astype(float), "one": np.full(n, 7.0), "parted": np.repeat([0.0, 1.0], n // 2),
+        "heavy": np.where(rng.random(n) < 0.7, 5.0, rng.normal(size=n)), "nan": np.where(rng.random(n) < 0.4, np.nan, rng.normal(size=n)),
+    }
+    pdf = pd.DataFrame(columns)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in pdf.itertuples(index=False)], ", ".join(f"{c} double" for c in columns)).repartition(3)
+    for row in E.column_profile(df, list(columns), bracket).collect():
+        values = np.sort(columns[row["column"]])  # NaN comes last
+        for name, share in E.QUARTILES.items():
+            place = (n - 1) * share
+            low, high = values[int(np.floor(place))], values[int(np.ceil(place))]
+            np.testing.assert_allclose(row[name], low + (high - low) * (place - np.floor(place)))
+    assert E.column_profile(df.limit(0), ["few"]).count() == 0
+
+
 def test_profile_equals_pandas(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"a": rng.normal(size=501), "b": rng.integers(0, 4, 501).astype(float), "c": rng.exponential(9, 501)})

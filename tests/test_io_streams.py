@@ -12,6 +12,7 @@ from depthmill.plans import adapters as A
 from depthmill.plans import lakehouse
 from depthmill.schemas import ENVELOPE
 from depthmill.sources import readers as R
+from depthmill.sources import topic_files
 from depthmill.sources import versions as V
 from depthmill.sources import writers as W
 from depthmill.streaming import gate, jobs, stalls
@@ -371,3 +372,46 @@ def test_a_number_that_is_taken_is_not_taken_again(spark, folder, monkeypatch):
     V.publish(spark.range(1), folder + "/t")
     monkeypatch.setattr(V, "versions", lambda spark, path: {})  # what a build sees that started at the same time
     assert V.publish(spark.range(2), folder + "/t") == 2
+
+
+def topic(spark, path, *offsets):
+    """(partition, offset) envelopes of two offsets a segment."""
+    data = [(None, bytearray(f"{p}-{o}", "utf8"), "t", p, o, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=o), 0) for p, o in offsets]
+    return topic_files.export(spark.createDataFrame(data, ENVELOPE), path, segment=2)
+
+
+def test_topic_files_give_ranges_of_offsets(spark, folder):
+    spark.dataSource.register(topic_files.TopicFiles)
+    read = lambda **options: sorted((r.partition, r.offset) for r in spark.read.format("topic_files").options(path=folder + "/t", **options).load().collect())
+    assert read() == []
+    every = [(0, o) for o in range(7)] + [(1, o) for o in (3, 4, 9)]  # offsets may have holes
+    assert topic(spark, folder + "/t", *every) == 7
+    assert read() == every and read(offsetsPerTask="1") == every
+    assert read(startingOffsets="latest") == []
+    assert read(startingOffsets='{"0": 5, "1": -2}', endingOffsets='{"0": -1, "1": 9}') == [(0, 5), (0, 6), (1, 3), (1, 4)]
+    whole = spark.read.format("topic_files").option("path", folder + "/t").load()
+    assert whole.schema == ENVELOPE and {(r.partition, r.offset, bytes(r.value).decode(), r.timestamp.second) for r in whole.collect()} == {(p, o, f"{p}-{o}", o) for p, o in every}
+    parts = topic_files.TopicReader({"path": folder + "/t", "startingOffsets": '{"0": 4, "1": -1}'}).partitions()
+    assert [(x.partition, x.start, x.end) for x in parts] == [(0, 4, 6), (0, 6, 7)]  # other segments aren't opened
+
+
+def test_topic_stream_goes_on_where_it_stopped(spark, folder):
+    spark.dataSource.register(topic_files.TopicFiles)
+    topic(spark, folder + "/t", *[(p, o) for p in (0, 1) for o in range(6)])
+
+    def run(**options):
+        stream = spark.readStream.format("topic_files").options(path=folder + "/t", **options).load()
+        query = W.batch_sink(stream, W.append_once(folder + "/out"), folder + "/cp", interval="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+        out = spark.read.parquet(folder + "/out").select("batch_id", "partition", "offset").collect()
+        return sorted((r.partition, r.offset) for r in out), max(len([1 for r in out if r.batch_id == b]) for b in {r.batch_id for r in out})
+
+    limited = {"startingOffsets": '{"0": 2, "1": -2}', "maxOffsetsPerTrigger": "4", "progress": folder + "/progress"}
+    want = [(0, o) for o in range(2, 6)] + [(1, o) for o in range(6)]
+    assert run(**limited) == (want, 4)
+    topic(spark, folder + "/t", (0, 6), (0, 7), (2, 0))
+    assert run(**limited) == (sorted([*want, (0, 6), (0, 7), (2, 0)]), 4)
+    with pytest.raises(ValueError, match="progress"):
+        topic_files.TopicStream({"path": folder, "maxOffsetsPerTrigger": "1"})
+    assert topic_files.TopicStream({"path": folder + "/t"}).initialOffset() == {"0": 8, "1": 6, "2": 1}
