@@ -60,6 +60,7 @@ class Aligner:
         self.blank = self.b.piece_to_id("▁")
         self.b_cuts = self.blank >= 0 and not any("▁" in (name := self.b.id_to_piece(i)).lstrip("▁") or "\n" in name for i in range(self.b.get_piece_size()))
         self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.singles: dict[int, str] = {}
         self.held = held
         self.known: dict[bytes, tuple[bytes, bytes] | None] = {}
 
@@ -145,7 +146,7 @@ class _Block:
     """A written block: its distinct parts' tokens one after another, as byte ends, and the links between them."""
 
     def __init__(self, row: dict, tool: Aligner):
-        self.name, self.row, self.names = row["block"], row, tool.names
+        self.name, self.row, self.names, self.singles = row["block"], row, tool.names, tool.singles
         self.at, self.ids_a, self.ids_b = (_unpack(row[c]) for c in ("at", "ids_a", "ids_b"))
         self.count_a, self.count_b = _unpack(row["count_a"]), _unpack(row["count_b"])
         self.ends_a, self.ends_b = np.cumsum(tool.a_sizes[self.ids_a]), np.cumsum(tool.b_sizes[self.ids_b])
@@ -174,12 +175,19 @@ class _Block:
         index_a = dict(zip(self.ends_a.tolist(), range(1, len(self.ends_a) + 1), strict=True))
         index_b = dict(zip(self.ends_b.tolist(), range(1, len(self.ends_b) + 1), strict=True))
         common = sorted(index_a.keys() & index_b.keys())
-        names_a, names_b = list(map(self.names.__getitem__, self.ids_a.tolist())), list(map(self.names.__getitem__, self.ids_b.tolist()))
-        texts, i, j = [], 0, 0
-        for end in common:
-            to_i, to_j = index_a[end], index_b[end]
-            texts.append(f"{names_a[i] if to_i - i == 1 else ','.join(names_a[i:to_i])}|{names_b[j] if to_j - j == 1 else ','.join(names_b[j:to_j])}")
-            i, j = to_i, to_j
+        to_i, to_j = (np.fromiter(map(index.__getitem__, common), np.int64, len(common)) for index in (index_a, index_b))
+        from_i, from_j = (np.concatenate([[0], x[:-1]]) if len(x) else x for x in (to_i, to_j))
+        # Most groups are a token on either side: their texts are remembered by id pair.
+        if len(self.singles) > FREQUENT:
+            self.singles.clear()
+        code = (self.ids_a[from_i] << 32 | self.ids_b[from_j]).tolist() if len(common) else []
+        texts = list(map(self.singles.get, code))
+        more = np.flatnonzero((to_i - from_i > 1) | (to_j - from_j > 1))
+        name = self.names.__getitem__
+        for k, i, to_i_, j, to_j_ in zip(more.tolist(), from_i[more].tolist(), to_i[more].tolist(), from_j[more].tolist(), to_j[more].tolist(), strict=True):
+            texts[k] = f"{','.join(map(name, self.ids_a[i:to_i_].tolist()))}|{','.join(map(name, self.ids_b[j:to_j_].tolist()))}"
+        for k in [k for k, text in enumerate(texts) if text is None]:
+            texts[k] = self.singles[code[k]] = f"{name(code[k] >> 32)}|{name(code[k] & 0xFFFFFFFF)}"
         cuts = np.searchsorted(np.array(common, np.int64), self.part_ends, "right")
         bounds = [0, *cuts.tolist()]
         parts = [";".join(texts[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
