@@ -67,7 +67,8 @@ def op9_near_copies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_leaks(spark: SparkSession, folder: str) -> DataFrame:
-    return leaks.leaked(_documents(spark, folder), _table(spark, folder, "benchmark")).drop("text")
+    found = leaks.leaked(_documents(spark, folder), _table(spark, folder, "benchmark"))
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("text", "spans", "items")
 
 
 def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:

@@ -139,7 +139,8 @@ def test_leaks_of_odd_rows(spark, block_words):
     got = leaks.leaked(spark.createDataFrame(rows, KIND), spark.createDataFrame(items, "item_id long, text string"), block_words=block_words)
     want = brute.leaks([(r[4], r[1]) for r in rows], items)
     for r, (_, n, hit, names) in zip(sorted(got.collect(), key=lambda r: r.row), want, strict=True):
-        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, hit, len(names), digest(names), hit > 0)
+        assert (r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) == (n, hit, len(names), names, hit > 0)
+        assert sum(x.n_words for x in r.spans) == hit and max((x.longest_match for x in r.spans), default=0) == r.longest_match
         assert r.text == rows[r.row][1]
     longest = {r.row: r.longest_match for r in got.collect()}
     assert longest[9] == 25 and longest[14] >= 10 and longest[0] == 0
@@ -148,6 +149,50 @@ def test_leaks_of_odd_rows(spark, block_words):
     assert leaks.decontaminated(spark.createDataFrame([], KIND), none).count() == 0
 
 
+def longest_from(words, items):
+    """For every place the longest match with any item from there on, by trying all."""
+    out = []
+    for i in range(len(words)):
+        best = 0
+        for item in items:
+            for j in range(len(item)):
+                n = 0
+                while i + n < len(words) and j + n < len(item) and words[i + n] == item[j + n]:
+                    n += 1
+                best = max(best, n)
+        out.append(best)
+    return out
+
+
+def test_longest_matches_equal_trying_all():
+    rng = random.Random(8)
+    for _ in range(30):
+        texts, items = ([" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 25))) for _ in range(4)] for _ in range(2))
+        block = leaks.TestBlock(items, [x.encode() for x in items], 3)
+        own = leaks.item_words([x.encode() for x in texts])
+        left = np.repeat(own.first[1:], own.counts) - np.arange(len(own.hashes()))
+        got = leaks.longest_matches(own.hashes(), left, np.arange(len(left)), block)
+        assert got.tolist() == [n for t in texts for n in longest_from(t.split(), [x.split() for x in items])]
+
+
+def test_spans_locate_the_passages(spark):
+    items = [("a", " ".join(f"a{i}" for i in range(30))), ("b", " ".join(f"b{i}" for i in range(12)))]
+    text = "x y " + items[0][1][: items[0][1].index(" a20")] + " z " + items[1][1] + " end"
+    r = leaks.leaked(spark.createDataFrame([(text, 1)], "text string, spans int"), spark.createDataFrame(items, "item_id string, text string")).first()
+    assert [tuple(x) for x in r.spans] == [(2, 20, 20), (23, 12, 12)] and r["items"] == ["a", "b"]
+
+
+def test_items_that_share_a_passage_cost_no_more():
+    """A thousand items with one instruction in common, and a hundred documents that hold it."""
+    shared = " ".join(f"w{i}" for i in range(60))
+    items = [f"{shared} item{k} tail{k}" for k in range(1000)]
+    block = leaks.TestBlock([str(k) for k in range(1000)], [x.encode() for x in items], leaks.WINDOW)
+    own = leaks.item_words([f"before {shared} behind{k}".encode() for k in range(100)])
+    found = leaks.find(own.hashes(), own.first, block)
+    assert sum(len(p) for _, p, _ in found) == 100 * 51
+    assert block.items_of(found[0][0], found[0][2][:1]) == set(range(1000))
+
+
 def test_registered_leaks(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in queries.op10_leaks(spark, SMALL).collect()}
