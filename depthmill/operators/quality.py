@@ -2,7 +2,6 @@
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +9,14 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
-    """`violation` marks bad rows; `measure` is any other aggregate or relation that counts failures."""
+    """One of: `violation` marks bad rows, `keys` must not repeat, `at_least` rows must be there, `state` counts faults without reading rows."""
 
     name: str
     violation: Column | None = None
-    measure: Callable[[DataFrame], DataFrame] | None = None
+    keys: tuple[str, ...] = ()
+    null_keys: bool = True
+    at_least: int | None = None
+    state: Callable[[DataFrame], int] | None = None
 
 
 def not_null(column: str) -> Check:
@@ -46,30 +48,22 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def unique_combination(columns: Sequence[str]) -> Check:
-    name = f"unique({', '.join(columns)})"
-    return Check(name, measure=lambda df: duplicate_keys(df, columns).agg(F.count(F.lit(1)).alias("failed_rows")))
+    """NULL keys count as values."""
+    return Check(f"unique({', '.join(columns)})", keys=tuple(columns))
 
 
 def unique(column: str) -> Check:
     """NULLs are not duplicates of each other here."""
-    return Check(
-        f"unique({column})",
-        measure=lambda df: duplicate_keys(df.where(F.col(column).isNotNull()), [column]).agg(
-            F.count(F.lit(1)).alias("failed_rows")
-        ),
-    )
+    return Check(f"unique({column})", keys=(column,), null_keys=False)
 
 
 def min_rows(rows: int) -> Check:
-    """Fails by the number of missing rows; reads no more than `rows` rows."""
-    return Check(
-        f"min_rows({rows})",
-        measure=lambda df: df.limit(rows).agg((F.lit(rows) - F.count(F.lit(1))).alias("failed_rows")),
-    )
+    """Fails by the number of missing rows; by itself it reads no more than `rows` rows."""
+    return Check(f"min_rows({rows})", at_least=rows)
 
 
 def not_empty() -> Check:
-    return Check("not_empty", measure=min_rows(1).measure)
+    return Check("not_empty", at_least=1)
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
@@ -77,37 +71,60 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
 
 
 def required_columns(required: Sequence[str]) -> Check:
-    def measure(df: DataFrame) -> DataFrame:
-        missing = len(missing_columns(df, required))
-        return df.sparkSession.range(1).select(F.lit(missing).cast("long").alias("failed_rows"))
-
-    return Check("required_columns", measure=measure)
+    return Check("required_columns", state=lambda df: len(missing_columns(df, required)))
 
 
 def has_data_files() -> Check:
-    def measure(df: DataFrame) -> DataFrame:
-        missing = 0 if df.inputFiles() else 1
-        return df.sparkSession.range(1).select(F.lit(missing).cast("long").alias("failed_rows"))
-
-    return Check("has_data_files", measure=measure)
+    return Check("has_data_files", state=lambda df: 0 if df.inputFiles() else 1)
+
+
+def _one_pass(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failed rows of every check as one row, from one scan: every row names the checks it violates, its keys, and itself, and all
+    these are counted by one aggregate, partial in every task; a second, small one sums up by check."""
+    columns = sorted({c for check in checks for c in check.keys})
+    none = {c: F.lit(None).cast(df.schema[c].dataType) for c in columns}
+
+    def marked(number: int, own: Sequence[str] = ()) -> Column:
+        return F.struct(F.lit(number).alias("number"), *[(F.col(c) if c in own else none[c]).alias(f"key_{i}") for i, c in enumerate(columns)])
+
+    marks = []
+    for number, check in enumerate(checks):
+        if check.violation is not None:
+            marks.append(F.when(check.violation, marked(number)))
+        elif check.keys:
+            known = F.lit(True) if check.null_keys else F.col(check.keys[0]).isNotNull()
+            marks.append(F.when(known, marked(number, check.keys)))
+    if any(check.at_least is not None for check in checks):
+        marks.append(marked(-1))
+    named = df.select(F.explode(F.array_compact(F.array(*marks))).alias("mark")).select("mark.*")
+    counted = named.groupBy("number", *[f"key_{i}" for i in range(len(columns))]).agg(F.count(F.lit(1)).alias("rows"))
+    of = lambda number: F.coalesce(F.sum(F.when(F.col("number") == number, F.col("rows"))), F.lit(0))
+    failed = []
+    for number, check in enumerate(checks):
+        if check.keys:
+            found = F.count_if((F.col("number") == number) & (F.col("rows") > 1))
+        else:
+            found = of(number) if check.violation is not None else F.greatest(F.lit(0), F.lit(check.at_least) - of(-1))
+        failed.append(found.cast("long").alias(f"_{number}"))
+    return counted.agg(*failed)
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
-    """All row-level checks in one scan and one aggregate; key checks are group-bys of their own."""
-    parts = []
-    by_row = [c for c in checks if c.violation is not None]
-    if by_row:
-        counts = df.agg(*[F.count_if(c.violation).alias(f"_{i}") for i, c in enumerate(by_row)])
-        lines = [
-            F.struct(F.lit(c.name).alias("check"), F.col(f"_{i}").alias("failed_rows")) for i, c in enumerate(by_row)
-        ]
-        parts.append(counts.select(F.inline(F.array(*lines))))
-    for check in checks:
-        if check.measure is not None:
-            parts.append(check.measure(df).select(F.lit(check.name).alias("check"), "failed_rows"))
-    report = reduce(DataFrame.unionByName, parts)
+    """All checks that read rows in one scan of the table, whatever their number; the others without reading it."""
+    reading = [c for c in checks if c.state is None]
+    if not reading:
+        counts = df.sparkSession.range(1).select(F.lit(0).alias("_none"))
+    elif all(c.violation is not None for c in reading):
+        counts = df.agg(*[F.count_if(c.violation).alias(f"_{i}") for i, c in enumerate(reading)])
+    elif all(c.at_least is not None for c in reading):
+        rows = df.limit(max(c.at_least for c in reading)).agg(F.count(F.lit(1)).alias("rows"))
+        counts = rows.select(*[F.greatest(F.lit(0), F.lit(c.at_least) - F.col("rows")).cast("long").alias(f"_{i}") for i, c in enumerate(reading)])
+    else:
+        counts = _one_pass(df, reading)
+    place = {id(c): i for i, c in enumerate(reading)}
+    lines = [F.struct(F.lit(c.name).alias("check"), (F.lit(c.state(df)).cast("long") if c.state else F.col(f"_{place[id(c)]}")).alias("failed_rows")) for c in checks]
     status = F.when(F.col("failed_rows") == 0, "pass").otherwise("fail")
-    return report.select(F.lit(table).alias("table"), "check", "failed_rows", status.alias("status"))
+    return counts.select(F.inline(F.array(*lines))).select(F.lit(table).alias("table"), "check", "failed_rows", status.alias("status"))
 
 
 def failures(report: DataFrame) -> DataFrame:

@@ -53,8 +53,13 @@ def test_every_check_finds_its_violation(spark, folder):
 def test_row_checks_share_one_scan(spark, folder):
     spark.range(5).select(F.col("id").alias("a"), F.col("id").alias("b")).write.parquet(folder + "/t")
     df = spark.read.parquet(folder + "/t")
-    plan = C.run_checks(df, [C.not_null("a"), C.non_negative("b"), C.in_range("a", 0, 9)], "t")
-    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    rows = [C.not_null("a"), C.non_negative("b"), C.in_range("a", 0, 9)]
+    for checks in (rows, [*rows, C.unique("a"), C.unique_combination(["a", "b"]), C.not_empty(), C.min_rows(9), C.required_columns(["a"]), C.has_data_files()]):
+        report = C.run_checks(df, checks, "t")
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") <= 2
+        assert [r.check for r in report.collect()] == [c.name for c in checks]
+        assert {r.check: r.failed_rows for r in report.collect() if r.failed_rows} == ({} if checks is rows else {"min_rows(9)": 4})
 
 
 def log(spark, directions, start=0):
@@ -114,7 +119,7 @@ def test_stalls_match_a_minute_by_minute_watch(spark):
     assert sorted((r.recovered_at, r.consecutive_failures) for r in found.collect()) == runs
     got = M.stall_alerts(found).collect()
     assert sorted((r.ts, r.consecutive_failures) for r in got) == alerts
-    assert all(r.message == f"ALERT: kafka has failed {r.consecutive_failures} consecutive checks" for r in got)
+    assert all(r.message == f"kafka is silent: nothing new in {r.consecutive_failures} checks" for r in got)
     growth = [r.new_messages for r in M.offset_growth(active).orderBy("window_start").collect()]
     assert growth == [None] + [10] * (len(heard) - 1)
 
