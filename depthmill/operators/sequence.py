@@ -1,10 +1,11 @@
 """Update-id continuity, gap-free epochs and snapshot anchors."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthmill.operators.book import book_state
-from depthmill.operators.ordered import running_last, running_totals, sliced_window, with_neighbours, without_neighbours
+from depthmill.operators.ordered import running_last
+from depthmill.session import written
 
 # Ids per slice of a symbol's sequence: bounds a task, and the carried borders stay one row per slice.
 SLICE_IDS = 1 << 18
@@ -14,17 +15,42 @@ def by_id(width: int = SLICE_IDS) -> Column:
     return F.floor(F.col("first_update_id") / F.lit(width))
 
 
+def linked(messages: DataFrame, slice_ids: int = SLICE_IDS) -> DataFrame:
+    """Add `prev_update_id`, the last id of the message before, and `epoch`, the number of breaks so far, from one read of the messages.
+
+    Slices are worked out by themselves and stored. A slice's summary (first id, last id, breaks) is all that the others need: summaries
+    add up along a symbol, one row per slice, and give each slice its predecessor and the breaks before it.
+    """
+    first, last = F.col("first_update_id"), F.col("last_update_id")
+    inside = Window.partitionBy("symbol", "_slice").orderBy(first, last)
+    rows = messages.withColumn("_slice", by_id(slice_ids)).withColumn("_before", F.lag(last).over(inside))
+    broken = F.coalesce(first != F.col("_before") + 1, F.lit(False)).cast("long")
+    rows = rows.withColumn("_broken", broken).withColumn("_run", F.sum("_broken").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = written(rows.drop("_broken"), "sliced-messages")
+
+    summary = rows.groupBy("symbol", "_slice").agg(F.min(first).alias("_first"), F.max_by(last, F.struct(first, last)).alias("_last"), F.max("_run").alias("_breaks"))
+    along = Window.partitionBy("symbol").orderBy("_slice")
+    summary = summary.withColumn("_carried", F.lag("_last").over(along))
+    border = F.coalesce(F.col("_first") != F.col("_carried") + 1, F.lit(False)).cast("long")
+    summary = summary.withColumn("_border", border)
+    earlier = F.coalesce(F.sum("_breaks").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = F.sum("_border").over(along.rowsBetween(Window.unboundedPreceding, 0)) + earlier
+    summary = summary.select(F.col("symbol").alias("_symbol"), F.col("_slice").alias("_of"), "_carried", base.alias("_base"))
+    placed = rows.join(summary, rows["symbol"].eqNullSafe(F.col("_symbol")) & rows["_slice"].eqNullSafe(F.col("_of")))
+    return placed.select(*messages.columns, F.coalesce("_before", "_carried").alias("prev_update_id"), (F.col("_base") + F.col("_run")).alias("epoch"))
+
+
 def continuity(messages: DataFrame, slice_ids: int = SLICE_IDS) -> DataFrame:
     """Per message: the id expected after the previous message, the gap, and PASS or FAIL.
 
     The first message of a symbol has no predecessor: expected id, gap and result are NULL.
     """
-    order = ["first_update_id", "last_update_id"]
-    near = with_neighbours(messages, ["symbol"], order, by_id(slice_ids), before=1)
-    previous = F.lag("last_update_id").over(sliced_window(["symbol"], order))
-    checked = without_neighbours(near.withColumn("prev_update_id", previous))
+    return _checked(linked(messages, slice_ids).drop("epoch"))
+
+
+def _checked(rows: DataFrame) -> DataFrame:
     expected = F.col("prev_update_id") + 1
-    return checked.withColumn("expected_id", expected).withColumns(
+    return rows.withColumn("expected_id", expected).withColumns(
         {
             "gap": F.col("first_update_id") - expected,
             "result": F.when(F.col("first_update_id") == expected, "PASS").when(expected.isNotNull(), "FAIL"),
@@ -43,11 +69,9 @@ def gap_summary(checked: DataFrame) -> DataFrame:
 
 
 def epochs(messages: DataFrame, slice_ids: int = SLICE_IDS) -> DataFrame:
-    """Add `epoch`: the number of breaks so far, so every epoch is one gap-free run."""
-    checked = continuity(messages, slice_ids)
-    broken = F.when(F.col("gap") != 0, 1).otherwise(0)
-    order = ["first_update_id", "last_update_id"]
-    return running_totals(checked, ["symbol"], order, by_id(slice_ids), {"epoch": broken})
+    """Continuity with `epoch`: the number of breaks so far, so every epoch is one gap-free run."""
+    rows = linked(messages, slice_ids)
+    return _checked(rows).select(*messages.columns, "prev_update_id", "expected_id", "gap", "result", "epoch")
 
 
 def snapshot_anchors(messages: DataFrame, snapshots: DataFrame, slice_ids: int = SLICE_IDS) -> DataFrame:

@@ -181,6 +181,24 @@ def test_anchors_equal_brute_force(spark):
         assert sorted((r.first_update_id, r.snapshot_id) for r in got.collect()) == expected
 
 
+def test_messages_are_read_once(spark):
+    """Continuity, epochs and statuses from one read, whatever they need of it."""
+    flat = [d for run in gapped(random.Random(9), 5, 40) for d in run]
+    df = diffs_frame(spark, {"A": flat, "B": flat[:30]}).select("symbol", "first_update_id", "last_update_id")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = df.mapInArrow(counted, df.schema)
+    snapshots = spark.createDataFrame([("A", flat[3][1]), ("B", flat[7][1])], "symbol string, snapshot_id long")
+    for job in (lambda: N.epochs(source, 16), lambda: N.synchronise(source, snapshots, 16)):
+        seen.value = 0
+        assert job().count() == df.count() == seen.value
+
+
 def test_a_message_with_a_wrong_first_id_takes_no_anchor(spark):
     """One that claims to start at 0 spans everything; nothing is listed per id, and the others keep what they hold."""
     rows = [("A", i, i + 4) for i in range(1_000_000, 1_000_100, 5)] + [("A", 0, 2_000_000), ("B", 7, 9)]
