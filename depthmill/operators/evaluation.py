@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from depthmill.functions.quotes import ratio
 from depthmill.functions.scoring import predicted_class
-from depthmill.operators.ordered import running_totals, with_quantile_slice
+from depthmill.operators.ordered import running_totals
+from depthmill.session import written
+
+
+#: Distinct scores of a range.
+BAND_ROWS = 1 << 20
 
 
 def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -19,19 +24,24 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
     )
 
 
-def _cumulative(counts: DataFrame) -> DataFrame:
-    """Counts at or above every distinct score, highest score first, in quantile bands."""
-    banded = with_quantile_slice(counts, "score")
+def _cumulative(counts: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
+    """Counts at or above every distinct score, highest score first.
+
+    Prefix sums over range partitions: as many ranges of scores as there are `band_rows` distinct ones, one total for each, offsets
+    added back. `counts` is stored, so that finding the ranges doesn't count again.
+    """
+    bands = max(1, -(-counts.count() // band_rows))
+    ranged = counts.repartitionByRange(bands, "score").withColumn("_band", F.spark_partition_id().cast("long"))
     sums = {"tp": F.col("positives"), "fp": F.col("negatives")}
-    return running_totals(banded, [], [F.desc("score")], -F.col("_band"), sums).drop("_band")
+    return running_totals(written(ranged, "score-ranges"), [], [F.desc("score")], -F.col("_band"), sums).drop("_band")
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """(threshold, tpr, fpr) per distinct score, plus the start (0, 0) whose threshold is NULL.
 
-    Everything after the first group-by works on distinct scores. Rates are NULL when a class is absent.
+    The input is read once; everything after the first group-by works on distinct scores. Rates are NULL when a class is absent.
     """
-    counts = score_counts(df, label, score)
+    counts = written(score_counts(df, label, score), "score-counts")
     totals = counts.agg(F.struct(F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives")))
     points = _cumulative(counts).withColumn("_all", totals.scalar()).select(
         F.col("score").alias("threshold"),
@@ -56,7 +66,7 @@ def best_threshold(points: DataFrame) -> DataFrame:
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact area by the rank statistic; NULL when a class is absent."""
-    cumulative = _cumulative(score_counts(df, label, score))
+    cumulative = _cumulative(written(score_counts(df, label, score), "score-counts"))
     # Pairs won by positives: each negative loses to the positives above it and halves its ties.
     above = F.col("tp") - F.col("positives")
     won = F.sum(F.col("negatives").cast("double") * (above + F.col("positives") / 2.0))

@@ -121,29 +121,3 @@ def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice
     inside = Window.partitionBy(*keys, SLICE).orderBy(F.desc(COPY), *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = rows.withColumn(name, F.last(name, ignorenulls=True).over(inside))
     return known.where(~F.col(COPY)).select(*df.columns, name)
-
-
-def with_quantile_slice(df: DataFrame, value: str, fan: int = 8, by: Sequence[str] = ()) -> DataFrame:
-    """Add `_band`: the number of the value's quantile band out of `fan` * `fan`, rising with the value.
-
-    The band borders come from one approximate-percentile aggregate of fixed size; they only balance the
-    work, so their error never touches a result. With `by`, borders are per group; groups must be few by
-    nature, such as column names, because their borders are broadcast.
-    """
-    bands = fan * fan
-    borders = F.percentile_approx(value, F.array(*[F.lit(i / bands) for i in range(1, bands)]), F.lit(10000))
-    if by:
-        per_group = df.groupBy(*by).agg(borders.alias("_borders"))
-        banded = df.join(F.broadcast(per_group), list(by))
-    else:
-        banded = df.withColumn("_borders", df.agg(borders.alias("_borders")).scalar())
-
-    def below(positions: list[Column]) -> Column:
-        """How many of the borders at `positions` the value exceeds."""
-        tests = [F.coalesce(F.get("_borders", at) < F.col(value), F.lit(False)).cast("int") for at in positions]
-        return reduce(Column.__add__, tests)
-
-    # Two short comparisons, coarse then fine: one long chain would outgrow what the JVM compiles.
-    banded = banded.withColumn("_coarse", below([F.lit(fan * i + fan - 1) for i in range(fan - 1)]))
-    fine = below([F.col("_coarse") * fan + i for i in range(fan - 1)])
-    return banded.withColumn("_band", (F.col("_coarse") * fan + fine).cast("long")).drop("_borders", "_coarse")

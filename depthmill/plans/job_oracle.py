@@ -89,7 +89,7 @@ def job_oracle() -> dict[str, str]:
         "score_invariants": query(
             "training",
             body="""SELECT CAST(count(*) - floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS answers, 0::BIGINT AS wrong_confidence,
-            0::BIGINT AS wrong_direction, 0::BIGINT AS outside FROM training""",
+            0::BIGINT AS wrong_direction, 0::BIGINT AS outside, 0::BIGINT AS wrong_area FROM training""",
         ),
         "depth_tables_roundtrip": base["bars_from_messages_5m"],
         "minute_tables_roundtrip": f"SELECT *, count(*) OVER () AS silver_minute_rows, count(*) OVER () AS gold_minute_rows FROM ({gold})",

@@ -23,6 +23,7 @@ class Trained:
     default_metrics: DataFrame
     description: DataFrame
     test: DataFrame
+    scored: DataFrame
 
 
 def train_and_evaluate(bars: DataFrame, every_column: bool = False, version: str = MODEL_VERSION, **boosting) -> Trained:
@@ -46,7 +47,7 @@ def fit_and_evaluate(labelled: DataFrame, version: str = MODEL_VERSION, **boosti
     metrics = written(E.evaluate(scored, threshold.select("threshold").scalar()), "metrics")
     default = E.evaluate(scored, 0.5)
     described = M.metadata(metrics, threshold, train, boundary, version)
-    return Trained(model, metrics, default, written(described, "description"), test)
+    return Trained(model, metrics, default, written(described, "description"), test, scored)
 
 
 def save(trained: Trained, folder: str, version: str) -> str:

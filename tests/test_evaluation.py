@@ -77,6 +77,33 @@ def test_reports(spark):
     assert E.positive_share(df).first().positive_share == pytest.approx(label.mean())
 
 
+def test_prefix_sums_over_many_ranges(spark, monkeypatch):
+    """Ranges of seven scores give the same points and area as one, and the input is read once."""
+    rng = np.random.default_rng(6)
+    rows = [(float(x), int(y)) for x, y in zip(rng.integers(0, 90, 400) / 7, rng.integers(0, 2, 400))]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "score double, label int").mapInArrow(counted, "score double, label int")
+    whole = sorted(map(tuple, E.roc_points(df).collect()), key=str)
+    assert seen.value == len(rows)
+    area = E.roc_auc(df).first().roc_auc
+    small = lambda counts, band_rows=7, cumulative=E._cumulative: cumulative(counts, band_rows)
+    monkeypatch.setattr(E, "_cumulative", small)
+    assert sorted(map(tuple, E.roc_points(df).collect()), key=str) == whole
+    assert E.roc_auc(df).first().roc_auc == pytest.approx(area)
+    assert area == pytest.approx(roc_auc_plain(rows))
+
+
+def roc_auc_plain(rows):
+    up, down = ([s for s, y in rows if y == c] for c in (1, 0))
+    return sum((a > b) + (a == b) / 2 for a in up for b in down) / (len(up) * len(down))
+
+
 @pytest.mark.parametrize("bracket", [1, 7])
 def test_quartiles_by_narrowing(spark, bracket):
     """Brackets that take several passes, values that hold most rows, and neighbours that part."""

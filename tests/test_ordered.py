@@ -8,7 +8,6 @@ from depthmill.operators.ordered import (
     running_totals,
     sliced_window,
     with_neighbours,
-    with_quantile_slice,
     without_neighbours,
 )
 
@@ -79,14 +78,6 @@ def test_no_window_spans_a_whole_key_of_rows(spark):
     assert len(per_key) == 1
 
 
-def test_quantile_slices_rise_with_value(spark):
-    df = spark.range(1000).select((F.col("id") * F.col("id")).cast("double").alias("x"))
-    banded = with_quantile_slice(df, "x", 3)
-    stats = banded.groupBy("_band").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("_band").collect()
-    assert len(stats) == 9
-    assert all(a.hi <= b.lo for a, b in zip(stats, stats[1:]))
-
-
 def test_times_and_structs_survive_the_copies(spark):
     day = dt.datetime(2024, 1, 1)
     data = [("a", day + dt.timedelta(hours=7 * i), (i, "x")) for i in range(20)]
