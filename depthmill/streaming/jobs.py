@@ -63,10 +63,18 @@ def ingest(
     fmt: str = "parquet",
     interval: str | None = "10 seconds",
 ) -> list[StreamingQuery]:
-    """Two queries over one parsed source: good rows to the lake table, the rest to the quarantine."""
-    good = W.lake_sink(bronze_stream(envelopes), table, f"{checkpoints}/bronze", fmt, interval)
-    bad = quarantine_stream(envelopes).writeStream.format(fmt).option("checkpointLocation", f"{checkpoints}/quarantine")
-    return [good, W.with_trigger(bad, interval).start(rejects)]
+    """One query that reads and parses its source once: good rows to the lake table, the rest to the quarantine.
+
+    Both are written per micro-batch (`batch_id` folders above date and symbol), so a repeated one replaces what it wrote before.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        W.spread(P.accepted(batch)).write.format(fmt).mode("overwrite").partitionBy(*W.PARTITIONS).save(f"{table}/batch_id={batch_id}")
+
+    def set_aside(batch: DataFrame, batch_id: int) -> None:
+        P.quarantine(batch).write.format(fmt).mode("overwrite").save(f"{rejects}/batch_id={batch_id}")
+
+    return [W.batch_sink(P.parse_depth(envelopes, "value"), W.fan_out(write, set_aside), f"{checkpoints}/ingest", interval)]
 
 
 def await_any(spark: SparkSession, timeout: int | None = None) -> bool | None:
