@@ -30,6 +30,7 @@ _UNITS_AT_ONCE = 4096
 #: Bytes that byte-level vocabularies write as themselves; the others are written as code points from 256 on, in order.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _WRITTEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_SPACE = chr(_WRITTEN[0x20])
 
 
 @lru_cache(maxsize=4)
@@ -46,7 +47,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
-        self.special = [] if plain else [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [] if plain else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.held = self.tokenizer.model, held
         self.parts: dict[bytes, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -71,11 +72,7 @@ class Encoder:
             self.parts.clear()
             self.tails.clear()
         cut = [self._cut(t) for t in texts]
-        missing: set[bytes] = set()
-        for parts in cut:
-            if parts is not None:
-                missing |= set(parts).difference(self.parts)
-        self._learn(missing)
+        self._learn(set().union(*(parts for parts in cut if parts is not None)).difference(self.parts))
         get = self.parts.__getitem__
         skip = 0 if self.drops_space else 4 * len(self.feed)
         return [self._ids(t.decode()) if parts is None else b"".join(map(get, parts))[skip if t else 0 :] for t, parts in zip(texts, cut, strict=True)]
@@ -98,11 +95,11 @@ class Encoder:
         return self._ids(text.decode())
 
     def _cut(self, text: bytes) -> list[bytes] | None:
-        low = text.lower() if self.special or self.drops_space else text
-        if any(name in low for name in self.special):
-            return None
+        for name in self.special:
+            if name in text:
+                return None
         if self.drops_space:
-            return low.split()  # lower case of ASCII letters comes before the tokenizer's own, and changes nothing
+            return text.lower().split()  # lower case of ASCII letters comes before the tokenizer's own, and changes nothing
         if not text:
             return []
         if b"  " in text or b" \n" in text or b"\n " in text or b"\n\n" in text or text[:1].isspace() or text[-1:].isspace():
@@ -148,7 +145,8 @@ class Encoder:
         word = name if self.drops_space else name.removeprefix(" ")
         if not word.isalpha() or not word.isascii() and max(word) > "\xff":
             return None
-        unit = (name.lower() if self.drops_space else name).encode().decode("latin-1").translate(_WRITTEN)
+        unit = name.lower() if self.drops_space else name
+        unit = unit.replace(" ", _SPACE) if word.isascii() else unit.encode().decode("latin-1").translate(_WRITTEN)
         return array("I", [t.id for t in self.model.tokenize(unit)]).tobytes()
 
     def _encode_all(self, names: list[str]) -> dict[str, bytes]:
