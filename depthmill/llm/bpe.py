@@ -95,11 +95,13 @@ class Encoder:
         return self._ids(text.decode())
 
     def _cut(self, text: bytes) -> list[bytes] | None:
+        if self.drops_space:
+            text = text.lower()  # a part in lower case could become a special token that the text doesn't hold
         for name in self.special:
             if name in text:
                 return None
         if self.drops_space:
-            return text.lower().split()  # lower case of ASCII letters comes before the tokenizer's own, and changes nothing
+            return text.split()  # lower case of ASCII letters comes before the tokenizer's own, and changes nothing
         if not text:
             return []
         if b"  " in text or b" \n" in text or b"\n " in text or b"\n\n" in text or text[:1].isspace() or text[-1:].isspace():
