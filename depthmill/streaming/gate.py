@@ -114,6 +114,8 @@ class SequenceGate(StatefulProcessor):
 
     A gap is declared when more than `max_held` diffs wait behind it, when a snapshot connects beyond it, or when a diff
     overlaps the cursor. What arrived before the watermark is given up by a timer: diffs as `expired`, snapshots silently.
+
+    State is read when a key's micro-batch begins and written when it ends: what comes and goes within one never gets there.
     """
 
     def __init__(self, max_held: int = 0) -> None:
@@ -154,7 +156,8 @@ class SequenceGate(StatefulProcessor):
         for place in [p for p, (*_, since) in self.info.items() if since < now]:
             yield from self._named(key, self._given_up(place, "expired"))
         for snapshot_id in [s for s in self.pending if self.since[s] < now]:
-            self._forget(snapshot_id)
+            del self.since[snapshot_id]
+        self.pending = [s for s in self.pending if s in self.since]
         self._store(timerValues)
 
     def _named(self, key, found):
@@ -164,15 +167,27 @@ class SequenceGate(StatefulProcessor):
     def _load(self) -> None:
         self.last_id, self.epoch, self.synced = self.cursor.get() or (-1, 0, False)
         self.info = {tuple(k): tuple(v) for k, v in self.held.iterator()} if self.held.exists() else {}
+        self.stored, self.ends = set(self.info), {}
         self.places = sorted(self.info)
         self.waiting = sum(v[3] for v in self.info.values())
         self.reach = max((last - first + 1 for first, last in self.places), default=0)
         self.since = {k[0]: v[0] for k, v in self.snapshots.iterator()} if self.snapshots.exists() else {}
-        self.pending = sorted(self.since)
+        self.pending, self.stored_since = sorted(self.since), dict(self.since)
 
     def _store(self, timerValues) -> None:
         for passed in self.pending[: bisect_right(self.pending, self.last_id)]:
-            self._forget(passed)
+            del self.since[passed]
+        for place in self.stored - self.info.keys():
+            self.held.removeKey(place)
+            self.held_ends.removeKey(place)
+        for place, ends in self.ends.items():
+            self.held.updateValue(place, self.info[place])
+            self.held_ends.updateValue(place, (ends.astype(">i8").tobytes(),))
+        for snapshot_id in self.stored_since.keys() - self.since.keys():
+            self.snapshots.removeKey((snapshot_id,))
+        for snapshot_id, arrived in self.since.items():
+            if self.stored_since.get(snapshot_id) != arrived:
+                self.snapshots.updateValue((snapshot_id,), (arrived,))
         self.cursor.update((self.last_id, self.epoch, self.synced))
         due = min([*(v[4] for v in self.info.values()), *self.since.values()], default=None)
         if due is not None:
@@ -180,10 +195,9 @@ class SequenceGate(StatefulProcessor):
             if not any(t <= due for t in self.handle.listTimers()):
                 self.handle.registerTimer(due)
 
-    def _forget(self, snapshot_id: int) -> None:
-        self.snapshots.removeKey((snapshot_id,))
-        self.pending.remove(snapshot_id)
-        del self.since[snapshot_id]
+    def _ends(self, place: tuple[int, int]) -> np.ndarray:
+        """The last id of each diff of a held run."""
+        return self.ends[place] if place in self.ends else np.frombuffer(self.held_ends.getValue(place)[0], ">i8")
 
     def _answer(self, run: Run, i: int, j: int, status: str):
         """One status for diffs i to j of a run."""
@@ -224,7 +238,6 @@ class SequenceGate(StatefulProcessor):
     def _snapshot(self, snapshot_id: int, arrived: int):
         if snapshot_id <= self.last_id or snapshot_id in self.since:
             return
-        self.snapshots.updateValue((snapshot_id,), (arrived,))
         self.since[snapshot_id] = arrived
         insort(self.pending, snapshot_id)
         places = self._around(snapshot_id + 1)
@@ -240,9 +253,7 @@ class SequenceGate(StatefulProcessor):
             return
         yield from self._answer(run, 0, n, "buffered")
         before = self.waiting
-        self.held.updateValue(place, (*run.key, n, run.arrived))
-        self.held_ends.updateValue(place, (run.ends.astype(">i8").tobytes(),))
-        self.info[place] = (*run.key, n, run.arrived)
+        self.info[place], self.ends[place] = (*run.key, n, run.arrived), run.ends
         insort(self.places, place)
         self.waiting += n
         self.reach = max(self.reach, run.last - run.first + 1)
@@ -253,13 +264,12 @@ class SequenceGate(StatefulProcessor):
 
     def _taken(self, place: tuple[int, int]) -> Run:
         """A held run, held no longer."""
-        (ends,) = self.held_ends.getValue(place)
-        self.held.removeKey(place)
-        self.held_ends.removeKey(place)
+        ends = self._ends(place)
+        self.ends.pop(place, None)
         *key, n, arrived = self.info.pop(place)
         self.places.pop(bisect_left(self.places, place))
         self.waiting -= n
-        return Run(place[0], np.frombuffer(ends, ">i8"), tuple(key), arrived)
+        return Run(place[0], ends, tuple(key), arrived)
 
     def _given_up(self, place: tuple[int, int], status: str):
         run = self._taken(place)
@@ -302,8 +312,7 @@ class SequenceGate(StatefulProcessor):
         while True:
             best = None
             for place in self._around(self.last_id + 1):
-                (ends,) = self.held_ends.getValue(place)
-                ends = np.frombuffer(ends, ">i8")
+                ends = self._ends(place)
                 at = int(np.searchsorted(ends, self.last_id, "right"))
                 begins = place[0] if at == 0 else int(ends[at - 1]) + 1
                 if begins == self.last_id + 1 and (best is None or ends[at] > best[0]):

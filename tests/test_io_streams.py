@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +293,59 @@ def test_gate_keeps_the_longer_of_two_diffs_and_announces_every_gap(spark, folde
     assert ("superseded", 1, 3) in found and ("applied", 1, 5) in found and ("resync", 6, 6) in found
 
 
+class _State(dict):
+    """A map or value state that counts the calls which change it."""
+
+    calls = 0
+    exists = dict.__len__
+    get = lambda self: dict.get(self, None)
+    getValue = dict.__getitem__  # noqa: N815
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+    def update(self, value):
+        self[None] = value
+
+    def updateValue(self, key, value):  # noqa: N802
+        _State.calls, self[key] = _State.calls + 1, value
+
+    def removeKey(self, key):  # noqa: N802
+        _State.calls += 1
+        del self[key]
+
+
+def test_gate_stores_only_what_outlives_a_batch():
+    """State is behind a socket: 500 snapshots and 1,000 runs that come and go within a batch don't touch it."""
+    states = {}
+
+    def state(name, *_):
+        return states.setdefault(name, _State())
+
+    handle = type("Handle", (), {"getValueState": staticmethod(state), "getMapState": staticmethod(state), "listTimers": staticmethod(lambda: [0]), "registerTimer": staticmethod(lambda at: None)})
+    timers = type("Timers", (), {"getCurrentWatermarkInMs": staticmethod(lambda: 0)})
+    row = type("Row", (), {})
+
+    def coming(kind, first, last):
+        out = row()
+        out.kind, out.first_update_id, out.last_update_id, out.arrived_ms = kind, first, last, 7
+        out.batch, out.slice, out.run, out.ends = 0, 0, first, np.arange(first, last + 1, dtype=">i8").tobytes()
+        return out
+
+    processor = gate.SequenceGate()
+    processor.init(handle)
+    rows = [coming("run", 10 * i, 10 * i + 7) for i in range(1000)] + [coming("snapshot", 20 * i + 3, 20 * i + 3) for i in range(500)]
+    _State.calls = 0
+    said = list(processor.handleInputRows(("S",), iter(rows), timers))
+    assert sum(r.status == "applied" and r.kind == "snapshot" for r in said) == 500
+    assert _State.calls == 2  # the last run waits, in two maps, for no snapshot connects to it
+    assert list(states["held"]) == [(9990, 9997)] and not states["snapshots"]
+    # What waits is found again in the next batch, and leaves the state with it.
+    said = list(processor.handleInputRows(("S",), iter([coming("snapshot", 9992, 9992)]), timers))
+    assert [(r.first_update_id, r.last_update_id) for r in said if r.kind == "diff" and r.status == "applied"] == [(9993, 9997)]
+    assert not states["held"] and not states["held_ends"] and not states["snapshots"]
+
+
 def test_replay_model_raises_on_gaps():
     replay = Replay()
     replay.load(0, [], [])
