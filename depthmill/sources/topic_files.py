@@ -14,10 +14,13 @@ maxOffsetsPerTrigger  offsets that a micro-batch takes at most, dealt evenly ove
 progress          a folder that the cluster shares, in which a stream with a limit notes how far it has planned (after a lost driver
                   one micro-batch may hold twice the limit).
 offsetsPerTask    offsets of a task at most (default 1,000,000).
+
+A stream lists the export when it has planned all that it knew of, not for each micro-batch, and reads small segments together.
 """
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -33,6 +36,8 @@ from depthmill.schemas import ENVELOPE
 
 #: Offsets of a segment that `export` writes.
 SEGMENT = 100_000
+#: Offsets of small segments that a task of a stream reads together.
+TOGETHER = 10_000
 EARLIEST, LATEST = -2, -1
 
 
@@ -43,6 +48,26 @@ class Slice(InputPartition):
         self.uri, self.partition, self.start, self.end = uri, partition, start, end
 
 
+class Slices(InputPartition):
+    """Slices of small segments that a task reads one after another."""
+
+    def __init__(self, slices: list[Slice]):
+        self.slices = slices
+
+
+def together(slices: list[Slice], at_once: int) -> list[Slices]:
+    """The slices in order, in groups of at most `at_once` offsets, at least one each."""
+    groups, total = [], at_once
+    for part in slices:
+        size = part.end - part.start
+        if total + size > at_once:
+            groups.append([])
+            total = 0
+        groups[-1].append(part)
+        total += size
+    return [Slices(group) for group in groups]
+
+
 class Segments:
     """What an export holds: first offset of every segment by partition."""
 
@@ -87,7 +112,9 @@ class Segments:
         out = []
         for p, stop in sorted(end.items()):
             starts = self.first.get(p, [])
-            for first, behind in zip(starts, [*starts[1:], stop], strict=True):
+            low = max(bisect_right(starts, start[p]) - 1, 0) if p in start else 0
+            starts = starts[low : bisect_right(starts, stop - 1)]
+            for first, behind in zip(starts, [*starts[1:], stop][: len(starts)], strict=True):
                 low, high = max(first, start.get(p, first)), min(behind, stop)
                 out += [Slice(self.uri(p, first), p, k, min(k + at_once, high)) for k in range(low, high, at_once)]
         return out
@@ -133,17 +160,29 @@ class TopicStream(DataSourceStreamReader):
         if self.limit and "progress" not in options:
             raise ValueError("maxOffsetsPerTrigger needs a folder for progress")
         self.planned: dict[int, int] | None = None
+        self.listed: tuple[Segments, dict[int, int]] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"listed": None}  # tasks don't need it
+
+    def _listing(self, wanted: dict[int, int] | None) -> tuple[Segments, dict[int, int]]:
+        """Segments and ends of the export; listed anew unless it is known to go on behind the wanted offsets."""
+        if self.listed is None or wanted is None or not any(end > wanted.get(p, -1) for p, end in self.listed[1].items()):
+            files = Segments(self.options["path"])
+            self.listed = files, files.latest()
+        return self.listed
 
     def initialOffset(self) -> dict:
         return self._as_offset(Segments(self.options["path"]).resolved(self.options.get("startingOffsets", "latest")))
 
     def latestOffset(self) -> dict:
-        files = Segments(self.options["path"])
-        late = files.latest()
+        if self.limit and self.planned is None:
+            self.planned = self._noted()
+        files, late = self._listing(self.planned)
         if not self.limit:
             return self._as_offset(late)
         if self.planned is None:
-            self.planned = self._noted() or files.resolved(self.options.get("startingOffsets", "latest"))
+            self.planned = files.resolved(self.options.get("startingOffsets", "latest"))
         early = files.earliest()
         here = {p: self.planned.get(p, early[p]) for p in late}
         # Deal the limit evenly; what a partition doesn't need goes to the others.
@@ -158,10 +197,14 @@ class TopicStream(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         begin, stop = ({int(p): o for p, o in x.items()} for x in (start, end))
-        return Segments(self.options["path"]).slices(begin, stop, int(self.options.get("offsetsPerTask", 1_000_000)))
-
-    def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
-        yield from _read(partition)
+        if self.listed is None or any(o > self.listed[1].get(p, -1) for p, o in stop.items()):
+            self._listing(None)
+        at_once = int(self.options.get("offsetsPerTask", 1_000_000))
+        return together(self.listed[0].slices(begin, stop, at_once), min(TOGETHER, at_once))
+
+    def read(self, partition: Slices) -> Iterator[pa.RecordBatch]:
+        for part in partition.slices:
+            yield from _read(part)
 
     def commit(self, end: dict) -> None:
         pass

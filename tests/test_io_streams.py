@@ -469,3 +469,23 @@ def test_topic_stream_goes_on_where_it_stopped(spark, folder):
     with pytest.raises(ValueError, match="progress"):
         topic_files.TopicStream({"path": folder, "maxOffsetsPerTrigger": "1"})
     assert topic_files.TopicStream({"path": folder + "/t"}).initialOffset() == {"0": 8, "1": 6, "2": 1}
+
+
+def test_topic_stream_lists_once_and_reads_small_segments_together(spark, folder, monkeypatch):
+    topic(spark, folder + "/t", *[(p, o) for p in (0, 1) for o in range(20)])
+    listed, whole = [], topic_files.Segments
+    monkeypatch.setattr(topic_files, "Segments", lambda path: listed.append(path) or whole(path))
+    stream = topic_files.TopicStream({"path": folder + "/t", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "8", "progress": folder + "/progress"})
+    at, seen = stream.initialOffset(), []
+    listed.clear()
+    for _ in range(5):
+        end = stream.latestOffset()
+        tasks = stream.partitions(at, end)
+        assert len(tasks) == 1  # four segments of two offsets
+        seen += [(x.partition, o) for task in tasks for x in task.slices for o in range(x.start, x.end)]
+        at = end
+    assert sorted(seen) == [(p, o) for p in (0, 1) for o in range(20)] and len(listed) == 1
+    topic(spark, folder + "/t", (0, 20))
+    assert stream.latestOffset() == {"0": 21, "1": 20} and len(listed) == 2
+    assert [len(x.slices) for x in topic_files.together(whole(folder + "/t").slices({}, {0: 6}, 100), 4)] == [2, 1]
+    assert whole(folder + "/t").slices({}, {0: 0}, 100) == []
