@@ -64,6 +64,12 @@ class Aligner:
         self.held = held
         self.known: dict[bytes, tuple[bytes, bytes] | None] = {}
 
+    def forget(self) -> None:
+        """Give up what was remembered for encoding: reading blocks doesn't need it."""
+        if self.known or self.a.parts:
+            self.known, self.a.parts, self.a.tails = {}, {}, {}
+            pa.default_memory_pool().release_unused()
+
     def parts(self, texts: list[bytes]) -> list[list[bytes]]:
         """Each text's parts; a text that can't be cut is one part, marked by a leading space."""
         cut = self.a.after_space(texts) if self.b_cuts else [None] * len(texts)
@@ -147,6 +153,8 @@ class _Block:
 
     def __init__(self, row: dict, tool: Aligner):
         self.name, self.row, self.names, self.singles = row["block"], row, tool.names, tool.singles
+        #: (pair, n, best) of the linked pairs that weren't sent.
+        self.more: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         self.at, self.ids_a, self.ids_b = (_unpack(row[c]) for c in ("at", "ids_a", "ids_b"))
         self.count_a, self.count_b = _unpack(row["count_a"]), _unpack(row["count_b"])
         self.ends_a, self.ends_b = np.cumsum(tool.a_sizes[self.ids_a]), np.cumsum(tool.b_sizes[self.ids_b])
@@ -201,9 +209,15 @@ class _Block:
 
 def _read(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[_Block]:
     tool = aligner(*paths)
+    tool.forget()
     for batch in batches:
+        more = batch.column("more") if "more" in batch.schema.names else None
+        plain = batch.select([f.split()[0] for f in _BLOCKS.split(", ")])
         for i in range(batch.num_rows):
-            yield _Block(batch.slice(i, 1).to_pylist()[0], tool)
+            block = _Block(plain.slice(i, 1).to_pylist()[0], tool)
+            if more is not None and more[i].is_valid:
+                block.more = tuple(x.to_numpy(zero_copy_only=False) for x in more.slice(i, 1).flatten().flatten())
+            yield block
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -295,9 +309,9 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _read(batches, paths):
             tables = [sent.value]
-            if more := block.row.get("more"):
-                own = sorted((x["pair"], x["n"], x["best"]) for x in more)
-                tables.append(tuple(map(np.array, zip(*own, strict=True))))
+            if block.more:
+                order = np.argsort(block.more[0])
+                tables.append(tuple(x[order] for x in block.more))
             counts, tops = np.zeros((2, len(block.links)), np.int64)
             for keys, n, best in tables:
                 place, there = _find(keys, block.links)

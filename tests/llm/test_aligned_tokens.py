@@ -102,3 +102,10 @@ def test_small_blocks_and_memories_give_the_same(spark, rows, monkeypatch):
 def test_registered_alignment(spark, rows):
     got = by_id(tuple(r[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")) for r in queries.op13_aligned_tokens(spark, SMALL).collect())
     assert got == by_id((*r[:7], hashlib.sha256(r[7].encode()).hexdigest() if r[1] else "") for r in plain(rows))
+
+
+def test_reading_blocks_gives_up_what_encoding_remembered():
+    tool = aligned_tokens.aligner(queries.BYTE_BPE, queries.PIECE_BPE)
+    assert tool.ids([b"some", b"words"]) and tool.known and tool.a.parts
+    assert list(aligned_tokens._read(iter([]), (queries.BYTE_BPE, queries.PIECE_BPE))) == []
+    assert not tool.known and not tool.a.parts and not tool.a.tails
