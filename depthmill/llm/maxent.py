@@ -33,6 +33,8 @@ CLASSES = 2 + SINGLES + ENDINGS
 #: Rows of weights that pairs of classes hash to.
 BUCKETS = 4096
 ROUNDS, RATE, SMOOTH = 12, 0.7, 2.0
+#: Contexts whose logits are held at a time.
+CONTEXTS = 512
 #: A word's place in its piece and its count share a long.
 COUNT_BITS = 40
 #: Hash of the end of a text, as a token.
@@ -162,11 +164,15 @@ def pair_rows(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 
 def log_shares(weights: np.ndarray, bias: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """log p(class | one, two) of each context, a row each."""
-    logits = bias + weights[one] + weights[CLASSES + two] + weights[pair_rows(one, two)]
-    logits[:, START] = -np.inf  # never comes
-    top = logits.max(axis=1, keepdims=True)
-    return logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))
+    """log p(class | one, two) of each context, a row each; worked out some contexts at a time."""
+    out = np.empty((len(one), CLASSES))
+    for k in range(0, len(one), CONTEXTS):
+        first, second = one[k : k + CONTEXTS], two[k : k + CONTEXTS]
+        logits = bias + weights[first] + weights[CLASSES + second] + weights[pair_rows(first, second)]
+        logits[:, START] = -np.inf  # never comes
+        top = logits.max(axis=1, keepdims=True)
+        out[k : k + CONTEXTS] = logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))
+    return out
 
 
 def _gradient(weights: np.ndarray, bias: np.ndarray):
