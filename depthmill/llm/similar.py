@@ -1,8 +1,10 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash bands find candidates, exact sets decide.
+"""Near copies by Jaccard similarity of word shingles: fingerprints and MinHash bands find candidates, exact sets decide.
 
 Two texts are linked if their sets of hashed shingles reach the similarity. Texts with equal sets are collapsed first.
-Texts that share a band's bucket are candidates. A bucket's members are held against its smallest first, which settles
-groups of copies with one pair a member. Where that leaves more than one component in a bucket, every pair across
+SimHash fingerprints of the sets within `radius` bits, searched in `fingerprints`' vantage-point trees, are candidates: a
+star for each local component. The trees prune at a small radius only, and a pair at 0.8 differs in some 10 bits of 64, so
+bands find the rest: texts that share a band's bucket. A bucket's members are held against its smallest. What stars link
+is settled with one pair a member. Where that leaves more than one component in a bucket, every pair across
 components is compared, in tiles of bounded size, so no group makes rows for all its pairs in one task.
 
 A pair of similarity s shares none of `BANDS` bands of `ROWS` hashes with probability (1 - s^ROWS)^BANDS: 5e-5 at 0.8.
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depthmill.llm.components import components
-from depthmill.llm.fingerprints import first_of, keyed_texts, local_components, named
+from depthmill.llm.fingerprints import RADIUS, first_of, keyed_texts, links, local_components, majority, named
 from depthmill.llm.texts import Words, blocks, encoded, grams, mix
 from depthmill.session import written
 
@@ -47,6 +49,14 @@ def set_hash(found: np.ndarray) -> int:
     return int(mix(np.array([mix(found).sum(dtype=np.uint64) + np.uint64(len(found))]))[0]) if len(found) else 0
 
 
+def simhashes(sets: list[np.ndarray]) -> np.ndarray:
+    """64-bit fingerprints: a bit is 1 if set in over half a set's hashes. An empty set: zero."""
+    out, kept = np.zeros(len(sets), np.uint64), [i for i, found in enumerate(sets) if len(found)]
+    if kept:
+        out[kept] = majority(np.concatenate([sets[i] for i in kept]), np.array([len(sets[i]) for i in kept]))
+    return out
+
+
 def bands(found: np.ndarray) -> np.ndarray:
     """A bucket key for every band."""
     low = np.array([((found ^ flip) * factor).min() for flip, factor in zip(_FLIPS, _FACTORS, strict=True)], np.uint64).reshape(BANDS, ROWS)
@@ -69,7 +79,8 @@ def _prints(size: int):
             fp = np.array([set_hash(s) for s in sets], np.uint64).view(np.int64)
             keys = _lists([bands(s) if len(s) else s for s in sets])
             counts = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("own"), pa.array(fp), counts, keys], names=["id", "own", "fp", "n", "bands"])
+            simhash = pa.array(simhashes(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("own"), pa.array(fp), counts, simhash, keys], names=["id", "own", "fp", "n", "simhash", "bands"])
 
     return run
 
@@ -118,24 +129,38 @@ def _tiles(similarity: float):
     return run
 
 
-def similar_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, similarity: float = SIMILARITY, tile_texts: int = TILE_TEXTS) -> DataFrame:
+def tree_pairs(distinct: DataFrame, radius: int) -> DataFrame:
+    """(lead, fp): candidates among sets of shingles by their fingerprints (fp, n, simhash), a star for each group that the trees link.
+
+    Sets with equal fingerprints hang on the smallest of them, the smallest of each fingerprint on that of the one it is linked to.
+    """
+    marked = distinct.where("n > 0").select("fp", "simhash")
+    leads = written(marked.groupBy("simhash").agg(F.min("fp").alias("lead")), "simhash-leads")
+    near = links(leads.select(F.col("simhash").alias("fp")), radius)
+    near = near.join(leads.select(F.col("simhash").alias("a"), F.col("lead").alias("fp")), "a").join(leads.select(F.col("simhash").alias("b"), "lead"), "b")
+    return written(marked.join(leads, "simhash").where("fp <> lead").select("lead", "fp").union(near.select("lead", "fp")).distinct(), "tree-pairs")
+
+
+def similar_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, similarity: float = SIMILARITY, tile_texts: int = TILE_TEXTS, radius: int = RADIUS) -> DataFrame:
     """(id, own, fp, component): a hash of each row's text and shingles, and the smallest id that links reach; rows as in `near_copies`."""
     source = keyed_texts(docs, id_col, text_col)
-    prints = written(source.mapInArrow(_prints(size), "id long, own long, fp long, n long, bands array<long>"), "shingle-prints")
-    distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "distinct-shingles")
+    prints = written(source.mapInArrow(_prints(size), "id long, own long, fp long, n long, simhash long, bands array<long>"), "shingle-prints")
+    distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("simhash").alias("simhash"), F.first("bands").alias("bands")), "distinct-shingles")
+    near = tree_pairs(distinct, radius)
     every = distinct.select("fp", "n", F.explode("bands").alias("key"))
     mark = F.xxhash64("fp").cast("decimal(38,0)")
     buckets = every.groupBy("key").agg(F.min("fp").alias("lead"), F.count("*").alias("texts"), F.sum("n").alias("total"), F.sum(mark).alias("mark")).where("texts > 1")
     # Buckets with the same members are one.
     buckets = written(buckets.groupBy("lead", "texts", "total", "mark").agg(F.min("key").alias("key")), "buckets")
     members = written(every.join(buckets, "key").select("key", "lead", "fp", "n"), "bucket-members")
-    wanted = members.select("fp").distinct().join(distinct.select("fp", "least"), "fp").select("least").distinct()
+    asked = written(members.select("fp").union(near.select("fp")).union(near.select("lead")).distinct(), "asked-shingles")
+    wanted = asked.join(distinct.select("fp", "least"), "fp").select("least").distinct()
     texts = source.join(wanted, F.col("id").eqNullSafe(F.col("least")), "left_semi").select("text")
     sets = texts.mapInArrow(_sets(size), "fp long, grams array<long>")
-    sets = written(sets.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("grams").alias("grams")), "shingle-sets")
+    sets = written(sets.join(asked, "fp", "left_semi").groupBy("fp").agg(F.first("grams").alias("grams")), "shingle-sets")
 
     common = F.size(F.array_intersect("x", "y"))
-    pairs = members.where("fp <> lead").select("lead", "fp").distinct()
+    pairs = members.where("fp <> lead").select("lead", "fp").union(near).distinct()
     held = pairs.join(sets.select("fp", F.col("grams").alias("y")), "fp").join(sets.select(F.col("fp").alias("lead"), F.col("grams").alias("x")), "lead")
     held = held.select("lead", "fp", common.alias("common"), (F.size("x") + F.size("y")).alias("both"))
     stars = written(held.where(F.col("common") >= similarity * (F.col("both") - F.col("common")) - 1e-9).select(F.col("fp").alias("a"), F.col("lead").alias("b")), "star-links")

@@ -86,3 +86,31 @@ def test_rows_that_repeat_an_id_are_judged_one_by_one(spark, keep):
         assert sorted(set(got) - third, key=str) == sorted({(2, one, "x", 1), (None, one, "n", 4), (8, "", "e", 6)}, key=str) and len(got) == 5
         first = third if seed == 0 else first
         assert third == first
+
+
+def test_trees_find_candidates_without_bands(spark, monkeypatch):
+    """Fingerprints in the trees link what no band holds; exact sets refuse what isn't similar."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(3000)]
+    rows = [(1, " ".join(base))]
+    for k in range(4):
+        w = list(base)
+        w[rng.randrange(3000)] = f"x{k}"
+        rows.append((10 + k, " ".join(w)))
+    rows += [(50, "one two three"), (51, "four five six"), (52, "one two three"), (60, None), (61, "")]
+    monkeypatch.setattr(similar, "bands", lambda found: found[:0])
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = similar.similar_copies(frame, radius=4)
+    assert by_row(got) == sorted(zip([i for i, _ in rows], brute.similar_classes(rows), strict=True))
+    assert {c for i, c in by_row(got) if i < 50} == {1}
+    far = [(1, " ".join(base)), (2, " ".join(f"c{i}" for i in range(50)))]
+    wide = similar.similar_copies(spark.createDataFrame(far, "doc_id long, text string"), radius=64)
+    assert by_row(wide) == [(1, 1), (2, 2)]
+
+
+def test_stage_asks_the_trees(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(similar, "links", lambda found, radius: asked.append(radius) or fingerprints.links(found, radius))
+    frame = spark.createDataFrame(edited_rows(), "doc_id long, text string")
+    corpus_pipeline.keep_distinct(spark, frame, "").count()
+    assert asked == [fingerprints.RADIUS]
