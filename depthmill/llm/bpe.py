@@ -13,6 +13,7 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
@@ -39,6 +40,13 @@ def encoder(path: str, held: int = PARTS_HELD, plain: bool = False) -> "Encoder"
     return Encoder(path, held, plain)
 
 
+def forget() -> None:
+    """Give up this worker's encoders with all they remember, for steps that don't encode."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        pa.default_memory_pool().release_unused()
+
+
 class Encoder:
     """`plain`: the strings of special tokens are ordinary text; else they become their ids, as in the tokenizer as loaded."""
 

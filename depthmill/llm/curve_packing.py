@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthmill.llm.bpe import PIECE, encoder
+from depthmill.llm.bpe import PIECE, encoder, forget
 from depthmill.llm.texts import blocks, encoded
 from depthmill.session import written
 
@@ -120,6 +120,7 @@ def _pack(length: int, width: int):
     kind = np.uint16 if width == 2 else np.uint32
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         packer = Packer(length, TaskContext.get().partitionId() << 40)
 
         def rows(pieces: list[tuple]) -> pa.RecordBatch:

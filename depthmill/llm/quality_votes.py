@@ -21,6 +21,8 @@ from depthmill.session import written
 
 #: Words of a repeated window, and the symbols counted.
 REPEAT, SYMBOLS = 8, b"#*$%&|<>"
+#: Bytes of texts that are counted at a time.
+COUNTED = 1 << 20
 #: Hard limits that hold beside the votes.
 LEAST_WORDS, REPEAT_PERCENT = 20, 30
 ROUNDS = 60
@@ -73,11 +75,9 @@ def count_features(texts: list[bytes]) -> list[np.ndarray]:
     words = Words(texts)
     edges = lambda flags: np.concatenate([[0], np.cumsum(flags)])
     between = lambda sums, at: sums[at[1:]] - sums[at[:-1]]
-    symbol = edges(_IS_SYMBOL[words.buffer])
-    symbols = between(symbol, words.bounds)
-    letters = edges(_LETTER[words.buffer])
-    with_letter = letters[words.ends] > letters[words.starts]
-    capitals = between(edges(_IS_CAPITAL[words.buffer]), words.bounds)
+    per_word = lambda flags: between(edges(words.with_flag(flags)), words.first)
+    symbol, letter = _IS_SYMBOL[words.buffer], _LETTER[words.buffer]
+    symbols, letters, capitals = (words.flagged(x) for x in (symbol, letter, _IS_CAPITAL[words.buffer]))
     duplicate, lines, ended = [], [], []
     for text in texts:
         full = [x for x in text.split(b"\n") if x and not x.isspace()]
@@ -94,12 +94,12 @@ def count_features(texts: list[bytes]) -> list[np.ndarray]:
         marks[starts[order[1:][same]]] = True
         marks[starts[order[:-1][same]]] = True
     repeated = between(edges(covered(marks, REPEAT, len(h))), words.first)
-    counted = [words.counts, words.code_points(), symbols, duplicate, repeated, lines, between(edges(with_letter), words.first), ended, capitals, between(letters, words.bounds), between(edges(symbol[words.ends] > symbol[words.starts]), words.first)]
+    counted = [words.counts, words.code_points(), symbols, duplicate, repeated, lines, per_word(letter), ended, capitals, letters, per_word(symbol)]
     return [np.asarray(x, np.int64) for x in counted]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches, "text"):
+    for batch in blocks(batches, "text", COUNTED):
         found = [pa.array(x) for x in count_features(encoded(batch.column("text")))]
         yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), *found], names=["row", "text", *FEATURES])
 

@@ -119,8 +119,15 @@ class Words:
 
     def code_points(self) -> np.ndarray:
         """Code points within words, of each text."""
-        inside = np.concatenate([[0], np.cumsum(~self._gap & ((self.buffer & 0xC0) != 0x80))])
-        return inside[self.bounds[1:]] - inside[self.bounds[:-1]]
+        return self.flagged(~self._gap & ((self.buffer & 0xC0) != 0x80))
+
+    def flagged(self, flags: np.ndarray) -> np.ndarray:
+        """Flags of bytes that are set in each text; nothing wider than a byte is made of them."""
+        return np.add.reduceat(flags, self.bounds[:-1], dtype=np.int64)
+
+    def with_flag(self, flags: np.ndarray) -> np.ndarray:
+        """Whether each word has a byte whose flag is set; white space must have none."""
+        return np.logical_or.reduceat(flags, self.starts)
 
 
 def covered(marks: np.ndarray, width: int, size: int) -> np.ndarray:

@@ -4,8 +4,10 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -166,3 +168,14 @@ def test_words_of_latin_letters_have_the_tokenizers_ids(path):
     for text in (" ".join(words), "\n".join(words), ", ".join(words), "Ωmega ĳ ŉ İstanbul Straße ÀÉÎ ªº µ"):
         for _ in range(2):
             assert np.frombuffer(encoder.encode([text.encode()])[0], np.uint32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_gives_up_the_encoders_of_the_step_before(monkeypatch):
+    monkeypatch.setattr(curve_packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.record_batch({"row": pa.array([{"c0": 1}, {"c0": 2}]), "text": pa.array(["one two", None])})
+    encoded = list(curve_packing._encode(queries.WORD_BPE, 1, 2)(iter([batch])))
+    assert bpe.encoder.cache_info().currsize
+    pieces = [r for out in curve_packing._pack(2048, 2)(iter(encoded)) for r in out.to_pylist()]
+    assert not bpe.encoder.cache_info().currsize
+    want = [i for _, ids in reference(queries.WORD_BPE, [(1, "one two"), (2, None)], 1) for i in ids]
+    assert np.frombuffer(b"".join(r["ids"] for r in pieces), np.uint32).tolist() == want
