@@ -421,7 +421,7 @@ def scored(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
     new and `train_tokens` is 0. An empty table gives an empty result. Other columns are ignored.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
-    pieces = written(source.mapInArrow(_pieces, _PIECE), "pieces")
+    pieces = written(source.mapInArrow(_pieces, _PIECE), "pieces", wide=True)
     entries = pieces.mapInArrow(_entries, "word long, ending short, n long, piece long, place int")
     vocabulary = written(entries.groupBy("word").agg(F.sum("n").alias("n"), F.min("ending").alias("ending")).where("n > 0"), "vocabulary")
     frequent = vocabulary.where(F.col("ending") != END).orderBy(F.desc("n"), "word").limit(SINGLES).collect()

@@ -47,11 +47,16 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back: for frames that several later steps scan.
+#: For rows of megabytes: a page ends after the row that fills it (else a file's first hundred rows are one page), and
+#: zstd works through a page as a stream (Snappy keeps buffers of a whole page, off the heap, for reading and writing).
+WIDE_ROWS = {"parquet.page.size.row.check.min": "1", "compression": "zstd"}
+
+
+def written(df: DataFrame, label: str, wide: bool = False) -> DataFrame:
+    """Write once to the shared folder and read back: for frames that several later steps scan. `wide`: rows may have megabytes.
 
     Unlike a cache it survives lost executors, and the plan behind it is gone for good.
     """
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**WIDE_ROWS if wide else {}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

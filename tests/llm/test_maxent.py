@@ -2,13 +2,16 @@
 
 import random
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from depthmill.llm import maxent
+from depthmill.session import work_root, written
 
 
 def test_log_shares_hold_few_logits_at_a_time():
@@ -112,3 +115,17 @@ def test_words_before_of_one_class_are_told_apart(spark):
 
 def test_rows_follow_the_vocabulary():
     assert [maxent.rows_of(n) for n in (0, 10**6, 4 * 10**6, 8 * 10**6, 10**10)] == [2048, 2048, 4096, 8192, 16384]
+
+
+def test_pieces_are_written_a_row_or_so_a_page(spark):
+    """Readers and writers hold a page at a time beside the heap: rows of megabytes must not share one."""
+    rng = np.random.default_rng(8)
+    rows = spark.createDataFrame([(bytearray(rng.bytes(1 << 20)),) for _ in range(8)], "tokens binary").coalesce(1)
+    path = Path(written(rows, "wide", wide=True).inputFiles()[0].removeprefix("file://"))
+    assert path.read_bytes().count(b"\x28\xb5\x2f\xfd") >= 8  # every page is a frame of its own
+    root = Path(work_root(spark).removeprefix("file://"))
+    before = set(root.glob("pieces-*"))
+    maxent.scored(spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string"), F.lit(False)).count()
+    files = [f for folder in set(root.glob("pieces-*")) - before for f in folder.glob("*.parquet")]
+    kinds = {pq.read_metadata(f).row_group(0).column(k).compression for f in files if pq.read_metadata(f).num_rows for k in range(7)}
+    assert kinds == {"ZSTD"}
