@@ -28,6 +28,8 @@ from depthmill.session import written
 BLOCK = 3 << 20
 #: Parts that a worker remembers, some 250 bytes each.
 PARTS_HELD = 200_000
+#: Parts of a block whose groups are looked for at a time.
+PARTS_AT_ONCE = 1 << 13
 #: Id pairs whose counts are sent to every task, 17 bytes each; the others are joined.
 FREQUENT = 1 << 17
 #: Pairs that a task gathers before it hands counts on.
@@ -132,7 +134,7 @@ def _align_blocks(path_a: str, path_b: str):
         part_id, tool = TaskContext.get().partitionId(), aligner(path_a, path_b)
         for seq, batch in enumerate(blocks(batches, "text", BLOCK)):
             index: dict[bytes, int] = {}
-            at = [np.array([index.setdefault(p, len(index)) for p in parts], np.uint32) for parts in tool.parts(encoded(batch.column("text")))]
+            at = [np.array([index.setdefault(p, len(index)) for p in tool.parts([t])[0]], np.uint32) for t in encoded(batch.column("text"))]
             found = tool.ids(list(index))
             bad = np.array([x is None for x in found], bool)
             if bad.any():  # one part that differs takes its whole text out
@@ -180,31 +182,41 @@ class _Block:
 
     def groups(self) -> tuple[np.ndarray, list[str]]:
         """(groups of each part, groups' text of each document)."""
-        index_a = dict(zip(self.ends_a.tolist(), range(1, len(self.ends_a) + 1), strict=True))
-        index_b = dict(zip(self.ends_b.tolist(), range(1, len(self.ends_b) + 1), strict=True))
+        to_a, to_b = np.cumsum(self.count_a), np.cumsum(self.count_b)
+        counts, parts, a, b = [np.zeros(0, np.int64)], [], 0, 0
+        for k in range(0, len(to_a), PARTS_AT_ONCE):
+            own = slice(k, k + PARTS_AT_ONCE)
+            next_a, next_b = int(to_a[own][-1]), int(to_b[own][-1])
+            n, texts = self._part_groups(slice(a, next_a), slice(b, next_b), self.part_ends[own])
+            counts.append(n)
+            parts += texts
+            a, b = next_a, next_b
+        ends = np.cumsum(self.row["words"], dtype=np.int64)
+        out = [";".join(map(parts.__getitem__, self.at[end - n : end].tolist())) for n, end in zip(self.row["words"], ends.tolist(), strict=True)]
+        return np.concatenate(counts), out
+
+    def _part_groups(self, own_a: slice, own_b: slice, part_ends: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        """(groups, groups' text) of some neighbouring parts, given their tokens of either side; groups never cross parts."""
+        ids_a, ids_b, ends_a, ends_b = self.ids_a[own_a], self.ids_b[own_b], self.ends_a[own_a], self.ends_b[own_b]
+        index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
+        index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
         common = sorted(index_a.keys() & index_b.keys())
         to_i, to_j = (np.fromiter(map(index.__getitem__, common), np.int64, len(common)) for index in (index_a, index_b))
         from_i, from_j = (np.concatenate([[0], x[:-1]]) if len(x) else x for x in (to_i, to_j))
         # Most groups are a token on either side: their texts are remembered by id pair.
         if len(self.singles) > FREQUENT:
             self.singles.clear()
-        code = (self.ids_a[from_i] << 32 | self.ids_b[from_j]).tolist() if len(common) else []
+        code = (ids_a[from_i] << 32 | ids_b[from_j]).tolist() if len(common) else []
         texts = list(map(self.singles.get, code))
         more = np.flatnonzero((to_i - from_i > 1) | (to_j - from_j > 1))
         name = self.names.__getitem__
         for k, i, to_i_, j, to_j_ in zip(more.tolist(), from_i[more].tolist(), to_i[more].tolist(), from_j[more].tolist(), to_j[more].tolist(), strict=True):
-            texts[k] = f"{','.join(map(name, self.ids_a[i:to_i_].tolist()))}|{','.join(map(name, self.ids_b[j:to_j_].tolist()))}"
+            texts[k] = f"{','.join(map(name, ids_a[i:to_i_].tolist()))}|{','.join(map(name, ids_b[j:to_j_].tolist()))}"
         for k in [k for k, text in enumerate(texts) if text is None]:
             texts[k] = self.singles[code[k]] = f"{name(code[k] >> 32)}|{name(code[k] & 0xFFFFFFFF)}"
-        cuts = np.searchsorted(np.array(common, np.int64), self.part_ends, "right")
+        cuts = np.searchsorted(np.array(common, np.int64), part_ends, "right")
         bounds = [0, *cuts.tolist()]
-        parts = [";".join(texts[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        out, start = [], 0
-        at = self.at.tolist()
-        for n in self.row["words"]:
-            out.append(";".join([parts[k] for k in at[start : start + n]]))
-            start += n
-        return np.diff(cuts, prepend=0), out
+        return np.diff(cuts, prepend=0), [";".join(texts[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 def _read(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[_Block]:
@@ -295,7 +307,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     """
     spark, paths = docs.sparkSession, (path_a, path_b)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = written(source.mapInArrow(_align_blocks(*paths), _BLOCKS), "aligned-parts")
+    parts = written(source.mapInArrow(_align_blocks(*paths), _BLOCKS), "aligned-parts", wide=True)
     pairs = written(linked_pairs(parts, paths), "pair-counts")
     known, all_known = _frequent(pairs, frequent)
     sent = spark.sparkContext.broadcast(known)

@@ -1,8 +1,10 @@
 """Alignment of two vocabularies' tokens, against a plain version that looks at whole texts."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
@@ -109,3 +111,22 @@ def test_reading_blocks_gives_up_what_encoding_remembered():
     assert tool.ids([b"some", b"words"]) and tool.known and tool.a.parts
     assert list(aligned_tokens._read(iter([]), (queries.BYTE_BPE, queries.PIECE_BPE))) == []
     assert not tool.known and not tool.a.parts and not tool.a.tails
+
+
+def test_groups_are_found_some_parts_at_a_time(monkeypatch):
+    paths = queries.BYTE_BPE, queries.PIECE_BPE
+    monkeypatch.setattr(aligned_tokens.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 3})()))
+    text = " ".join(f"w{i}q{i % 7}," for i in range(40_000))
+    batch = pa.record_batch([pa.array([1, 2, 3]), pa.array([text, "", "w1q1, w2q2,"])], names=["id", "text"])
+    block = next(aligned_tokens._read(aligned_tokens._align_blocks(*paths)(iter([batch])), paths))
+    peaks, found = [], []
+    for size in (1 << 20, aligned_tokens.PARTS_AT_ONCE, 1000):
+        monkeypatch.setattr(aligned_tokens, "PARTS_AT_ONCE", size, raising=False)
+        block.groups()  # remembers what it may
+        tracemalloc.start()
+        n, texts = block.groups()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        found.append((n.tolist(), texts))
+    assert found[0] == found[1] == found[2]
+    assert peaks[1] < peaks[0] / 2
